@@ -95,14 +95,14 @@ def with_parsed_iso(df: DataFrame, src: Column, *, text: str = "_ts_text", ts: s
     return stage2.select(*keep, F.inline(F.array(parsed)))
 
 
-def floor_window(ts: Column, minutes: int) -> Column:
+def floor_window(ts: Column, minutes) -> Column:
     """Tumbling floor anchored to the hour: seconds dropped, minute -= minute % w.
 
     Zone-free on TIMESTAMP_NTZ (date_trunc would return a zoned TIMESTAMP).
     """
     minute = F.minute(ts)
-    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
-                                minute - (minute % F.lit(minutes)), F.lit(0))
+    w = minutes if isinstance(minutes, Column) else F.lit(minutes)
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), minute - (minute % w), F.lit(0))
 
 
 def iso_seconds(ts: Column) -> Column:
