@@ -125,6 +125,32 @@ def resample(cleaned: DataFrame, metrics: list[str]) -> DataFrame:
     )
 
 
+def resample_long(cleaned: DataFrame) -> DataFrame:
+    """D1/D2 in long form: one row per (service, host, window, metric), partial-aggregated.
+
+    Much smaller than the cleaned rows; checkpointing it lets the metric list
+    be discovered without recomputing ingestion.
+    """
+    return cleaned.groupBy(*KEYS, "window_start", "canonical_metric_name").agg(
+        F.avg("standardized_metric_value").alias("_mean"),
+        F.count_if(F.col("event_type") == "event").alias("_events"),
+        F.max(F.when(F.col("anomaly_label") == "anomaly", 1).otherwise(0)).alias("_anomaly"),
+        F.collect_set(F.when(F.col("event_summary") != "", F.col("event_summary"))).alias("_summaries"),
+    )
+
+
+def widen(long: DataFrame, metrics: list[str]) -> DataFrame:
+    """Long windows -> the wide shape of :func:`resample` (one row per window)."""
+    name = F.col("canonical_metric_name")
+    return long.groupBy(*KEYS, "window_start").agg(
+        F.sum("_events").cast("int").alias("event_count"),
+        F.max("_anomaly").alias("is_anomaly"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_summaries")))), SUMMARY_SEPARATOR)
+        .alias("event_summaries"),
+        *[F.max(F.when(name == m, F.col("_mean"))).alias(f"_mean_{m}") for m in metrics],
+    )
+
+
 def _slot(ts: Column, window_minutes: int) -> Column:
     """Zone-free window index: minutes since 1970-01-01 divided by w."""
     minutes = (F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long") * 1440
@@ -260,8 +286,19 @@ def window_features(cleaned: DataFrame, *, metrics: list[str] | None = None, win
                     max_windows_per_series: int = DEFAULT_MAX_WINDOWS_PER_SERIES) -> DataFrame:
     """Full S5 feature table from cleaned rows."""
     check_window_minutes(window_minutes, rolling_window_size)
-    metrics = sorted(metrics) if metrics is not None else discover_metrics(cleaned)
-    windows = resample(cleaned, metrics)
+    if metrics is None:
+        # D3 needs the observed metric names before the wide plan: aggregate
+        # to (window, metric) once, cut the lineage there (shared checkpoint
+        # folder), read the names from that small table and widen it.
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(cleaned.sparkSession)
+        long = resample_long(cleaned).checkpoint(eager=True)
+        metrics = discover_metrics(long)
+        windows = widen(long, metrics)
+    else:
+        windows = resample(cleaned, sorted(metrics))
+        metrics = sorted(metrics)
     grid = fill_gaps(windows, metrics, window_minutes=window_minutes, max_windows_per_series=max_windows_per_series)
     base = series_features(grid, metrics, window_minutes=window_minutes, rolling_window_size=rolling_window_size)
     return add_zscores(base, metrics)

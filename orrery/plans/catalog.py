@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import metrics as M
 from ..operators.dedup import flag_first_wins, new_records, source_report
-from ..operators.series import add_zscores, discover_metrics, fill_gaps, preprocess_report, resample, series_features
+from ..operators.series import add_zscores, discover_metrics, fill_gaps, preprocess_report, series_features
 from ..operators.validate import accepted, null_spikes, validation_issues
 from ..specs import CURATED_COLUMNS, ROLLING_SUFFIXES
 from . import stages as S
@@ -99,9 +99,13 @@ def q_window_floor(spark, sf):
 
 
 def _windows(spark, sf):
-    cl = S.cleaned(spark, sf)
-    metrics = discover_metrics(cl)
-    return resample(cl, metrics), metrics
+    from ..operators.series import resample_long, widen
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    long = resample_long(S.cleaned(spark, sf)).checkpoint(eager=True)
+    metrics = discover_metrics(long)
+    return widen(long, metrics), metrics
 
 
 def q_window_resample(spark, sf):
@@ -211,20 +215,25 @@ def regression_scored(features: DataFrame) -> DataFrame:
     return features.select(*WINDOW_KEYS, F.inline(rows)).where(F.col("label").isNotNull())
 
 
+def _scored_once(spark, sf) -> DataFrame:
+    """Rule-scored table, checkpointed: the AUC reads it twice (quantile cuts, prefix sums)."""
+    return rule_scored(S.features(spark, sf)).checkpoint(eager=True)
+
+
 def q_confusion(spark, sf):
     return S.output(M.confusion(rule_scored(S.features(spark, sf))))
 
 
 def q_classification_metrics(spark, sf):
-    return S.output(M.classification_metrics(rule_scored(S.features(spark, sf))))
+    return S.output(M.classification_metrics(_scored_once(spark, sf)))
 
 
 def q_roc_auc(spark, sf):
-    return S.output(M.roc_auc(rule_scored(S.features(spark, sf))))
+    return S.output(M.roc_auc(_scored_once(spark, sf)))
 
 
 def q_threshold_sweep(spark, sf):
-    return S.output(M.threshold_sweep(rule_scored(S.features(spark, sf))))
+    return S.output(M.threshold_sweep(_scored_once(spark, sf)))
 
 
 def q_service_stability(spark, sf):
