@@ -108,3 +108,13 @@ def floor_window(ts: Column, minutes) -> Column:
 def iso_seconds(ts: Column) -> Column:
     """TIMESTAMP_NTZ -> 'yyyy-MM-ddTHH:mm:ss' text (used for keys in reports)."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def utc_instant(ts: Column) -> Column:
+    """TIMESTAMP_NTZ holding UTC wall time -> TIMESTAMP (instant), independent of the session zone.
+
+    Streaming watermarks need TIMESTAMP; a plain cast would read the value in
+    the session zone.
+    """
+    secs = (F.second(ts) + F.date_format(ts, "SSSSSS").cast("int") / F.lit(1_000_000.0)).cast("decimal(8,6)")
+    return F.make_timestamp(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), secs, F.lit("UTC"))

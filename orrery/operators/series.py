@@ -41,7 +41,7 @@ def _text(name: str) -> Column:
     return py_strip(F.coalesce(F.col(name).cast("string"), F.lit("")))
 
 
-def clean_flags(curated: DataFrame, *, window_minutes: int) -> DataFrame:
+def clean_flags(curated: DataFrame, *, window_minutes: int, passthrough: tuple[str, ...] = ()) -> DataFrame:
     """Curated rows -> cleaned rows (S4) plus ``_dropped`` (B11) and ``_bad_value`` (Q11)."""
     ts_text = _text("timestamp")
     value_type = dict(curated.dtypes).get("metric_value", "string")
@@ -56,6 +56,7 @@ def clean_flags(curated: DataFrame, *, window_minutes: int) -> DataFrame:
     label = F.lower(py_strip(F.coalesce(F.col("anomaly_label").cast("string"), F.lit("unknown"))))
     source_type = _text("source_type") if "source_type" in curated.columns else F.lit("")
     staged0 = curated.select(
+        *passthrough,
         ts_text.alias("_ts_raw"),
         (F.col("ts").cast("timestamp_ntz") if "ts" in curated.columns else F.lit(None).cast("timestamp_ntz")).alias("_ts_in"),
         _text("service_name").alias("service_name"),
@@ -80,6 +81,7 @@ def clean_flags(curated: DataFrame, *, window_minutes: int) -> DataFrame:
                | (F.col("metric_name") == "") | F.col("_ts").isNull())
     metric = F.col("metric_name")
     return staged.select(
+        *passthrough,
         F.col("_ts_text").alias("timestamp"),
         F.col("_ts").alias("ts"),
         floor_window(F.col("_ts"), window_minutes).alias("window_start"),
@@ -100,8 +102,9 @@ def clean_flags(curated: DataFrame, *, window_minutes: int) -> DataFrame:
     )
 
 
-def clean(curated: DataFrame, *, window_minutes: int) -> DataFrame:
-    return clean_flags(curated, window_minutes=window_minutes).where(~F.col("_dropped")).drop("_dropped", "_bad_value")
+def clean(curated: DataFrame, *, window_minutes: int, passthrough: tuple[str, ...] = ()) -> DataFrame:
+    flags = clean_flags(curated, window_minutes=window_minutes, passthrough=passthrough)
+    return flags.where(~F.col("_dropped")).drop("_dropped", "_bad_value")
 
 
 def discover_metrics(cleaned: DataFrame) -> list[str]:

@@ -351,7 +351,20 @@ def half_up_round(sql: str) -> str:
 
 THRESHOLDS = "unnest([0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]::DOUBLE[])"
 
+STREAM_DELAY_MINUTES = 10
+
 SQL: dict[str, str] = {
+    "q_stream_ingest": _with(
+        "SELECT source_file, row_number, fp AS record_fingerprint, ts_text AS timestamp, service_name, host_id, "
+        "metric_name, value0 AS metric_value, event_type FROM acc"),
+    "q_stream_dedup": _with(
+        "SELECT DISTINCT fp AS record_fingerprint, ts_text AS timestamp, service_name, host_id, metric_name, "
+        "value0 AS metric_value, event_type FROM acc"),
+    "q_stream_windows": _with(
+        f"SELECT {KEYS}, event_count, CAST(is_anomaly AS BIGINT) AS is_anomaly, "
+        + ", ".join(f"round(mean_{m}, 6) AS {m}" for m in METRICS)
+        + f" FROM win WHERE window_start + INTERVAL {W} MINUTE <= "
+          f"(SELECT max(tsu) FROM acc) - INTERVAL {STREAM_DELAY_MINUTES} MINUTE"),
     "q_adapter_raw": _with("SELECT * FROM raw"),
     "q_validate_accept": _with(
         "SELECT source_file, row_number, ts_text AS timestamp, service_name, host_id, metric_name, value0 AS metric_value, "

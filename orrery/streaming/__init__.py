@@ -1,0 +1,7 @@
+"""Structured Streaming forms of ingestion, de-duplication, windows and scoring."""
+
+from .stream import (dedup_stream, events_stream, ingest_stream, raw_stream, run_available_now, score_stream,
+                     window_stream)
+
+__all__ = ["dedup_stream", "events_stream", "ingest_stream", "raw_stream", "run_available_now", "score_stream",
+           "window_stream"]
