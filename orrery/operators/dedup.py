@@ -54,6 +54,21 @@ def flag_first_wins(validated: DataFrame, existing: DataFrame | None = None) ->
     return flagged.withColumn("is_written", F.coalesce(F.col("is_written"), F.lit(False))).drop("_order")
 
 
+def first_wins(validated: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """The winning copies only (curated rows), in one aggregation.
+
+    ``min_by(row, order key)`` per fingerprint: a sort-based aggregate with a
+    map-side partial step, so hot fingerprints collapse before the shuffle,
+    and validation is evaluated once (no join back to the rows).
+    """
+    keyed = order_key(validated).where(F.size("issues") == 0).drop("issues")
+    cols = [c for c in keyed.columns if c not in ("record_fingerprint", "_order")]
+    firsts = keyed.groupBy("record_fingerprint").agg(F.min_by(F.struct(*cols), F.col("_order")).alias("_row"))
+    if existing is not None:
+        firsts = firsts.join(existing.select("record_fingerprint"), "record_fingerprint", "left_anti")
+    return firsts.select("record_fingerprint", "_row.*")
+
+
 def source_report(flagged: DataFrame) -> DataFrame:
     """Per source: rows seen, rows written, duplicates, issue count (issues, not rows), rejected rows."""
     ok = F.size("issues") == 0

@@ -286,7 +286,8 @@ def add_zscores(features: DataFrame, metrics: list[str]) -> DataFrame:
 
 def window_features(cleaned: DataFrame, *, metrics: list[str] | None = None, window_minutes: int = 1,
                     rolling_window_size: int = 3,
-                    max_windows_per_series: int = DEFAULT_MAX_WINDOWS_PER_SERIES) -> DataFrame:
+                    max_windows_per_series: int = DEFAULT_MAX_WINDOWS_PER_SERIES,
+                    materialize: bool = True) -> DataFrame:
     """Full S5 feature table from cleaned rows."""
     check_window_minutes(window_minutes, rolling_window_size)
     if metrics is None:
@@ -304,6 +305,13 @@ def window_features(cleaned: DataFrame, *, metrics: list[str] | None = None, win
         metrics = sorted(metrics)
     grid = fill_gaps(windows, metrics, window_minutes=window_minutes, max_windows_per_series=max_windows_per_series)
     base = series_features(grid, metrics, window_minutes=window_minutes, rolling_window_size=rolling_window_size)
+    if materialize:
+        # the z-score statistics and the output both read the windowed table:
+        # write it once (shared checkpoint folder) instead of computing it twice
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(base.sparkSession)
+        base = base.checkpoint(eager=True)
     return add_zscores(base, metrics)
 
 

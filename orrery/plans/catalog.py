@@ -170,7 +170,7 @@ def q_derived_features(spark, sf):
 
 def q_zscores(spark, sf):
     f, metrics = _base_features(spark, sf)
-    z = add_zscores(f, metrics)
+    z = add_zscores(f.checkpoint(eager=True), metrics)
     return S.output(z.select(*WINDOW_KEYS, *[f"{m}_zscore" for m in metrics]))
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.dedup import flag_first_wins, new_records
-from ..operators.series import clean, clean_flags, discover_metrics, window_features
+from ..operators.dedup import first_wins, flag_first_wins
+from ..operators.series import clean, clean_flags, discover_metrics, window_features  # noqa: F401
 from ..operators.validate import validate
 from ..sources.adapter import raw_telemetry
 
@@ -36,7 +36,7 @@ def flagged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def curated(spark: SparkSession, sf: str) -> DataFrame:
-    return new_records(flagged(spark, sf))
+    return first_wins(validated(spark, sf))
 
 
 def cleaned_flags(spark: SparkSession, sf: str, window_minutes: int = WINDOW_MINUTES) -> DataFrame:
@@ -53,9 +53,9 @@ def metrics_of(spark: SparkSession, sf: str) -> list[str]:
 
 def features(spark: SparkSession, sf: str, window_minutes: int = WINDOW_MINUTES,
              rolling_window_size: int = ROLLING_WINDOW, metrics: list[str] | None = None) -> DataFrame:
-    cl = cleaned(spark, sf, window_minutes)
-    return window_features(cl, metrics=metrics if metrics is not None else discover_metrics(cl),
-                           window_minutes=window_minutes, rolling_window_size=rolling_window_size)
+    # metrics=None: discovered from the checkpointed (window x metric) aggregate
+    return window_features(cleaned(spark, sf, window_minutes), metrics=metrics, window_minutes=window_minutes,
+                           rolling_window_size=rolling_window_size)
 
 
 def ts_text(c: Column) -> Column:

@@ -79,9 +79,23 @@ def events_to_raw(events: DataFrame, *, source_file: str = PRIMARY_SOURCE, sourc
     )
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Small inputs (fewer scan partitions than task slots) are hash-spread over the slots.
+
+    Large inputs already scan as many splits and are left alone, so this
+    never adds a shuffle at scale; it keeps a one-file table from running
+    the whole narrow stage (validation regexes) on one core.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots, key)
+    return df
+
+
 def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events once, plus the replayed share as a second source."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet")
+                    .select("event_id", "ts", "user_id", "event_type", "value", "props"), "event_id")
     primary = events_to_raw(events)
     replay = events_to_raw(events.where(F.col("event_id") % REPLAY_EVERY == 0), source_file=REPLAY_SOURCE, source_ordinal=1)
     return primary.unionByName(replay)
