@@ -351,9 +351,59 @@ def half_up_round(sql: str) -> str:
 
 THRESHOLDS = "unnest([0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]::DOUBLE[])"
 
+REQUEST_ORDER = tuple(METRIC_DEFAULTS)  # request features keep the reference's metric order
+HIST = 3  # previous present windows carried as history
+
+
+def _request_features_sql() -> str:
+    ms = REQUEST_ORDER
+    hist = ", ".join(
+        f"list_filter([" + ", ".join(f"lag(mean_{m}, {i}) OVER w" for i in range(HIST, 0, -1))
+        + f"], lambda x: x IS NOT NULL) AS h_{m}" for m in ms)
+    lines = [f"""
+, rq AS (
+  SELECT service_name, host_id, window_start, event_count AS ev, {", ".join(f"mean_{m} AS o_{m}" for m in ms)}, {hist}
+  FROM win WINDOW w AS (PARTITION BY service_name, host_id ORDER BY window_start)
+),
+rc AS (SELECT *, {", ".join(f"coalesce(o_{m}, h_{m}[-1], 0.0::DOUBLE) AS c_{m}, "
+                            f"CASE WHEN o_{m} IS NULL THEN 1.0 ELSE 0.0 END AS i_{m}" for m in ms)} FROM rq),
+rs AS (SELECT *, {", ".join(f"list_append(h_{m}, c_{m}) AS s_{m}" for m in ms)} FROM rc),
+rr AS (SELECT *, {", ".join(f"list_slice(s_{m}, greatest(len(s_{m}) - {S.ROLLING_WINDOW - 1}, 1), len(s_{m})) AS r_{m}"
+                            for m in ms)} FROM rs),
+rm AS (SELECT *, {", ".join(f"list_reduce(r_{m}, lambda a, x: a + x) / len(r_{m}) AS rmu_{m}, "
+                            f"list_reduce(s_{m}, lambda a, x: a + x) / len(s_{m}) AS smu_{m}" for m in ms)} FROM rr),
+rf AS (SELECT *, {", ".join(
+        f"sqrt(list_reduce(list_transform(r_{m}, lambda x: (x - rmu_{m}) * (x - rmu_{m})), lambda a, b: a + b) / len(r_{m})) AS rsd_{m}, "
+        f"sqrt(list_reduce(list_transform(s_{m}, lambda x: (x - smu_{m}) * (x - smu_{m})), lambda a, b: a + b) / len(s_{m})) AS ssd_{m}"
+        for m in ms)} FROM rm)
+SELECT service_name, host_id, strftime(window_start, '%Y-%m-%dT%H:%M:%S') AS window_start,
+  CAST({W} AS BIGINT) AS window_minutes, CAST({S.ROLLING_WINDOW} AS BIGINT) AS rolling_window_size,"""]
+    cols = []
+    for m in ms:
+        cols += [
+            f"round(c_{m}, 6) AS {m}", f"round(i_{m}, 6) AS {m}_was_imputed", f"round(rmu_{m}, 6) AS {m}_roll_mean",
+            f"round(rsd_{m}, 6) AS {m}_roll_std", f"round(list_min(r_{m}), 6) AS {m}_roll_min",
+            f"round(list_max(r_{m}), 6) AS {m}_roll_max",
+            f"round(CASE WHEN len(r_{m}) > 1 THEN (r_{m}[-1] - r_{m}[1]) / (len(r_{m}) - 1) ELSE 0.0::DOUBLE END, 6) AS {m}_roll_slope",
+            f"round(CASE WHEN len(s_{m}) <= 1 OR ssd_{m} = 0 THEN 0.0::DOUBLE ELSE (c_{m} - smu_{m}) / ssd_{m} END, 6) AS {m}_zscore",
+        ]
+    cols += [
+        "round(CAST(ev AS DOUBLE), 6) AS event_count",
+        f"round(CAST(ev AS DOUBLE) / {float(W)}::DOUBLE, 6) AS event_frequency",
+        "round(CASE WHEN c_error_rate <> 0 THEN c_error_rate WHEN c_throughput_rps <> 0 "
+        "THEN c_request_failures / c_throughput_rps ELSE 0.0::DOUBLE END, 6) AS request_error_ratio",
+        "round(CASE WHEN c_throughput_rps <> 0 THEN c_cpu_utilization / c_throughput_rps ELSE 0.0::DOUBLE END, 6) "
+        "AS cpu_throughput_imbalance",
+        "round(c_latency_ms - rmu_latency_ms, 6) AS short_term_latency_drift",
+        "round(CASE WHEN c_packet_drop_ratio > 0.01::DOUBLE THEN 1.0 ELSE 0.0 END, 6) AS packet_drop_burst_count",
+    ]
+    return lines[0] + "\n  " + ",\n  ".join(cols) + "\nFROM rf"
+
+
 STREAM_DELAY_MINUTES = 10
 
 SQL: dict[str, str] = {
+    "q_request_features": _with(_request_features_sql()),
     "q_stream_ingest": _with(
         "SELECT source_file, row_number, fp AS record_fingerprint, ts_text AS timestamp, service_name, host_id, "
         "metric_name, value0 AS metric_value, event_type FROM acc"),
