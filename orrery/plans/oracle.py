@@ -402,7 +402,24 @@ SELECT service_name, host_id, strftime(window_start, '%Y-%m-%dT%H:%M:%S') AS win
 
 STREAM_DELAY_MINUTES = 10
 
+def _stream_series_sql() -> str:
+    cols = ["event_count", "event_frequency", "is_anomaly"]
+    cols += [f"{m}{x}" for m in METRICS for x in ("", "_was_imputed", "_roll_mean", "_roll_std", "_roll_min",
+                                                    "_roll_max", "_roll_slope")]
+    cols += ["request_error_ratio", "cpu_throughput_imbalance", "short_term_latency_drift", "packet_drop_burst_count"]
+    sel = ", ".join(f"CAST(b.{c} AS BIGINT) AS {c}" if c in INT_COLUMNS else f"b.{c}" for c in cols)
+    return f"""
+, fin AS (
+  SELECT service_name, host_id, max(window_start) AS last_ws FROM win
+  WHERE window_start + INTERVAL {W} MINUTE <= (SELECT max(tsu) FROM acc) - INTERVAL {STREAM_DELAY_MINUTES} MINUTE
+  GROUP BY service_name, host_id
+)
+SELECT b.service_name, b.host_id, strftime(b.window_start, '%Y-%m-%d %H:%M:%S') AS window_start, {sel}
+FROM base b JOIN fin ON b.service_name = fin.service_name AND b.host_id = fin.host_id AND b.window_start <= fin.last_ws"""
+
+
 SQL: dict[str, str] = {
+    "q_stream_series": _with(_stream_series_sql()),
     "q_request_features": _with(_request_features_sql()),
     "q_stream_ingest": _with(
         "SELECT source_file, row_number, fp AS record_fingerprint, ts_text AS timestamp, service_name, host_id, "
