@@ -17,6 +17,7 @@ from ..operators.dedup import flag_first_wins, new_records, source_report
 from ..operators.series import add_zscores, discover_metrics, fill_gaps, preprocess_report, series_features
 from ..operators.validate import accepted, null_spikes, validation_issues
 from ..specs import CURATED_COLUMNS, ROLLING_SUFFIXES
+from ..session import materialize
 from . import stages as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,10 +101,10 @@ def q_window_floor(spark, sf):
 
 def _windows(spark, sf):
     from ..operators.series import resample_long, widen
-    from ..session import ensure_checkpoint_dir
+    from ..session import ensure_checkpoint_dir, materialize
 
     ensure_checkpoint_dir(spark)
-    long = resample_long(S.cleaned(spark, sf)).checkpoint(eager=True)
+    long = materialize(resample_long(S.cleaned(spark, sf)), "windows-long")
     metrics = discover_metrics(long)
     return widen(long, metrics), metrics
 
@@ -170,7 +171,7 @@ def q_derived_features(spark, sf):
 
 def q_zscores(spark, sf):
     f, metrics = _base_features(spark, sf)
-    z = add_zscores(f.checkpoint(eager=True), metrics)
+    z = add_zscores(materialize(f, "features-base"), metrics)
     return S.output(z.select(*WINDOW_KEYS, *[f"{m}_zscore" for m in metrics]))
 
 
@@ -217,7 +218,7 @@ def regression_scored(features: DataFrame) -> DataFrame:
 
 def _scored_once(spark, sf) -> DataFrame:
     """Rule-scored table, checkpointed: the AUC reads it twice (quantile cuts, prefix sums)."""
-    return rule_scored(S.features(spark, sf)).checkpoint(eager=True)
+    return materialize(rule_scored(S.features(spark, sf)), "rule-scored")
 
 
 def q_confusion(spark, sf):

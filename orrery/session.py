@@ -67,3 +67,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     streaming checkpoints and sinks)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage: checkpoint ``df`` to the shared checkpoint folder, computing it once.
+
+    ``DataFrame.checkpoint()`` alone evaluates an unpersisted plan twice (the
+    action, then the RDD write); persisting first lets the write read the
+    cached blocks.  The cache is dropped once the checkpoint files exist.
+    ``name`` labels the stage for logs.
+    """
+    from pyspark import StorageLevel
+
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
