@@ -79,17 +79,21 @@ def events_to_raw(events: DataFrame, *, source_file: str = PRIMARY_SOURCE, sourc
     )
 
 
+SMALL_INPUT_BYTES = 1 << 30
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Small inputs (fewer scan partitions than task slots) are hash-spread over the slots.
+    """Small inputs (under 1 GiB, fewer scan partitions than task slots) are hash-spread over the slots.
 
-    Large inputs already scan as many splits and are left alone, so this
-    never adds a shuffle at scale; it keeps a one-file table from running
-    the whole narrow stage (validation regexes) on one core.
+    Keeps a one-file table from running the whole narrow stage (validation
+    regexes) on one core.  Larger inputs are never reshuffled: they already
+    scan as many splits, and moving them would cost more than it saves.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots, key)
-    return df
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(slots, key) if size <= SMALL_INPUT_BYTES else df
 
 
 def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
