@@ -1,8 +1,73 @@
-"""The corpus pipeline (stages are added as their operators are built)."""
+"""The corpus pipeline: language ID, quality, near-duplicates, source mix, packing.
+
+Each stage is (name, function); a function takes (spark, docs, sf_dir) and
+works on all documents that its predecessor kept.  ``run`` writes each
+stage's result as Parquet to the shared folder and reads it back for the
+next.  The rules that SQL cannot express (trained models, signatures, a
+tokenizer) leave no SQL for the whole; tests hold it against brute force.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orrery.llm.common import staged, table
+from orrery.llm.language_id import UNDETERMINED, fit, predict_column, training_rows
+from orrery.llm.minhash import near_duplicates
+from orrery.llm.mixing import mix
+from orrery.llm.packing import pack
+from orrery.llm.quality import score_column
+from orrery.llm.queries import quality_model, tokenizer_path
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+LEAST_LANGUAGE_SCORE = 0.5  # pooled probability below which no language is accepted
+LEAST_TAIL = 0.5  # of P(grade >= 1)
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is determined: they have a letter, and one label holds at least half of the probability."""
+    net = fit(docs.filter(training_rows(F.col("doc_id"), F.col("lang"))))
+    scored = docs.withColumn("_p", predict_column(net, F.col("text")))
+    keep = (F.col("_p.lang") != UNDETERMINED) & (F.col("_p.score") >= LEAST_LANGUAGE_SCORE)
+    return scored.filter(keep).select(*COLUMNS)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are at least of grade 1 more likely than not."""
+    model = quality_model(spark, docs, sf_dir)
+    scored = docs.withColumn("_s", score_column(model, F.col("text")))
+    return scored.filter(F.col("_s.tails")[0] >= LEAST_TAIL).select(*COLUMNS)
+
+
+def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class, that with the smallest doc_id; documents without doc_id stay."""
+    keep = near_duplicates(docs).filter(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    named = docs.select(*COLUMNS).join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.filter(F.col("doc_id").isNull()).select(*COLUMNS))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: whole epochs of its source, and once more if it is sampled."""
+    rows = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row"))
+    copies = staged(mix(rows, carry=("_row",)).filter("taken > 0").select("_row", F.expr("int(taken div size)").alias("_copies")), "mix")
+    repeated = rows.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return repeated.select(*COLUMNS)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixed documents as pieces of 2048-token sequences (columns of query op2)."""
+    return pack(docs, tokenizer_path(), payload={"ids_crc32": F.crc32("ids")})
+
+
+STAGES = [("language ID", language_stage), ("quality classifier", quality_stage), ("MinHash near-dedup", duplicate_stage),
+          ("mixing sources", mixing_stage), ("packing", packing_stage)]
 
-STAGES = []
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), "stage-" + name.split()[0].lower())
+    return STAGES[-1][1](spark, docs, sf_dir)

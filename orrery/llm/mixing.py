@@ -66,8 +66,8 @@ def targets(totals: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), max_epochs: i
 
 
 def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source",
-        weight: Column | None = None, max_epochs: int = 3, buckets: int = BUCKETS) -> DataFrame:
-    """(key, size, source_size, target, taken) of every row of ``docs``.
+        weight: Column | None = None, max_epochs: int = 3, buckets: int = BUCKETS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, size, source_size, target, taken) and the columns ``carry`` of every row of ``docs``.
 
     ``weight`` is a positive quality weight (default: ``quality_column`` of
     the text).  ``taken`` is size times the number of copies: the whole
@@ -86,7 +86,7 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
     """
     body = F.col(text).cast("string")
     rows = docs.select(F.col(key).alias("k"), F.col(source).cast("string").alias("source"), size_column(body).alias("size"),
-                       (quality_column(body) if weight is None else weight).alias("w"), F.xxhash64(body).alias("h"))
+                       (quality_column(body) if weight is None else weight).alias("w"), F.xxhash64(body).alias("h"), *(F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)))
     rows = rows.withColumn("e", -F.log(draw_column(F.col("k"))) / F.col("w"))
     # e is exponential for weight 1: 1 - exp(-e) spreads it evenly; e grows with the bucket
     rows = rows.withColumn("b", F.least(F.floor((1 - F.exp(-F.col("e"))) * buckets), F.lit(buckets - 1)).cast("int"))
@@ -108,4 +108,5 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
     last = last.withColumn("more", (F.col("upto") + F.col("size") / 2 <= F.col("rest")).cast("bigint")).drop("upto")
     taken = clear.unionByName(last)
     return taken.select(F.col("k").alias(key), "size", "source_size", "target",
-                        (F.col("size") * (F.col("epochs") + F.col("more"))).alias("taken"))
+                        (F.col("size") * (F.col("epochs") + F.col("more"))).alias("taken"),
+                        *(F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)))

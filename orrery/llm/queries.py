@@ -14,12 +14,30 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.language_id import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orrery.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), tokenizer_path(), payload={"ids_crc32": F.crc32("ids")})
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orrery.llm.warc import round_trip
 
@@ -29,6 +47,12 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", refers.alias("refers_to"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.embedding_dedup import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orrery.llm.mixing import mix
 
@@ -51,7 +75,24 @@ def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op5_warc, op7_mixing, op8_url_filter, op9_token_count)}
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """The model learned from the ``labels`` of the documents that are in ``docs``."""
+    from orrery.llm.quality import fit, grade_column
+
+    labels = table(spark, sf_dir, "labels").select("doc_id", grade_column(F.col("quality"), F.col("toxic")).alias("grade"))
+    return fit(docs, labels)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.quality import classify
+
+    docs = table(spark, sf_dir, "documents")
+    return classify(docs, quality_model(spark, docs, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_packing, op3_nearest, op4_near_duplicates, op5_warc,
+                                  op6_embedding_dedup, op7_mixing, op8_url_filter,
+                                  op9_token_count, op10_quality)}
 
 SQL = {
     "op5_warc": """
