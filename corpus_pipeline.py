@@ -21,12 +21,12 @@ from orrery.llm.quality import score_column
 from orrery.llm.queries import quality_model, tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-LEAST_LANGUAGE_SCORE = 0.5  # pooled probability below which no language is accepted
+LEAST_LANGUAGE_SCORE = 0.4  # pooled probability below which no language is accepted
 LEAST_TAIL = 0.5  # of P(grade >= 1)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is determined: they have a letter, and one label holds at least half of the probability."""
+    """Documents whose language is determined: they have a letter, and one label holds enough of the probability."""
     net = fit(docs.filter(training_rows(F.col("doc_id"), F.col("lang"))))
     scored = docs.withColumn("_p", predict_column(net, F.col("text")))
     keep = (F.col("_p.lang") != UNDETERMINED) & (F.col("_p.score") >= LEAST_LANGUAGE_SCORE)
