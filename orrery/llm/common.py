@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_slices(texts: Sequence[str | None], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Consecutive row ranges of about ``limit`` characters each, at least one row."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        n = len(t) if t else 0
+        if i > start and size + n > limit:
+            yield start, i
+            start, size = i, 0
+        size += n
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame, *, node: str = "id",
                          left: str = "a", right: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable over ``edges``, itself included.

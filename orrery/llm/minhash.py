@@ -21,8 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.common import connected_components, staged
-from orrery.llm.token_count import byte_balanced
+from orrery.llm.common import connected_components, staged, text_slices
 
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 25, 5  # a pair at 0.8 misses all bands with probability 5e-5
@@ -118,7 +117,7 @@ def band_table(texts: DataFrame, *, bands: int = BANDS, rows: int = ROWS, words:
         salt = mix64(np.arange(1, bands + 1, dtype=np.uint64))
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for i, j in byte_balanced(texts):
+            for i, j in text_slices(texts):
                 sets = shingler.of(texts[i:j])
                 has = np.flatnonzero([len(h) > 0 for h, _ in sets])
                 if not len(has):
@@ -147,7 +146,7 @@ def verified(pairs: DataFrame, texts: DataFrame, *, similar: float = SIMILAR, wo
         shingler = Shingler(words)
         for batch in batches:
             body, out = list(batch), []
-            for i, j in byte_balanced(body):
+            for i, j in text_slices(body):
                 out += [(h.tobytes(), c.astype(np.uint32).tobytes()) for h, c in shingler.of(body[i:j])]
             yield pd.DataFrame(out, columns=["hashes", "counts"])
 

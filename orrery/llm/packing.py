@@ -12,6 +12,8 @@ their length.
 
 from __future__ import annotations
 
+import sys
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -49,11 +51,16 @@ def cut_documents(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text:
         encoder = PieceEncoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            texts, keys = batch.column(1).to_pylist(), batch.column(0)
+            texts, keys = batch.column(1), batch.column(0)
             for i, j in byte_balanced(texts):
                 rows, own = [], []
-                for at, parts in enumerate(encoder.encoded(texts[i:j], _bytes), i):
-                    ids = b"".join(parts) + end
+                values, codes, ends = encoder.encoded(texts.slice(i, j - i), _bytes)
+                stream = pa.array(values, pa.binary()).take(pa.array(codes))
+                data, bounds = stream.buffers()[2], np.frombuffer(stream.buffers()[1], np.int32)[stream.offset:]
+                whole = data.to_pybytes() if data is not None else b""
+                upto = bounds[np.concatenate([[0], ends])]
+                for at, (begin, finish) in enumerate(zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True), i):
+                    ids = whole[begin:finish] + end
                     total = len(ids) // 4
                     for start in range(0, total, window):
                         length = min(window, total - start)
@@ -76,7 +83,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text:
 
 
 def _bytes(ids: Sequence[int]) -> bytes:
-    return np.asarray(ids, "<u4").tobytes()
+    return array("I", ids).tobytes() if sys.byteorder == "little" else np.asarray(ids, "<u4").tobytes()
 
 
 def combinations(present: np.ndarray, window: int = WINDOW) -> np.ndarray:

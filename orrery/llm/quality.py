@@ -20,8 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orrery.llm.common import staged
-from orrery.llm.token_count import byte_balanced
+from orrery.llm.common import staged, text_slices
 
 BITS = 18  # features are hashed to 2 ** BITS weights
 SAMPLE = 6000  # rows that may be learned from, at most
@@ -214,7 +213,7 @@ def score_column(model: Model, text: Column) -> Column:
         for texts in batches:
             latent = np.zeros(len(texts))
             body = [t or "" for t in texts]
-            for i, j in byte_balanced(body):
+            for i, j in text_slices(body):
                 latent[i:j] = model.latent(table.of(body[i:j]), j - i)
             tails = model.tails(latent)
             yield pd.DataFrame({"latent": latent, "expected_grade": tails.sum(axis=1), "tails": list(tails)})
