@@ -18,14 +18,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.llm.common import connected_components, staged, text_slices
 
 WORDS, SIMILAR = 5, 0.8
-BANDS, ROWS = 25, 5  # a pair at 0.8 misses all bands with probability 5e-5
-PIVOTS = 16  # components of a bucket that get a new pivot in one round
+REGISTERS, BANDS, ROWS = 128, 50, 8  # a pair at 0.9 misses all bands with probability below 1e-6, one at 0.8 with 0.01
+FAR = 31  # registers in which the sketches of a pair may differ: 19.2 are expected at 0.8, this is 3 deviations more
+PAIRS = 0x5555555555555555
+PIVOTS = 64  # documents of a bucket that become pivots in one round
 
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -110,10 +112,17 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 
 
 def band_table(texts: DataFrame, *, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
-    """(id, bands: array<bigint>) of (id, text) rows; no row for a text without a word."""
+    """(id, bands: array<bigint>, sketch: array<bigint>) of (id, text) rows; no row for a text without a word.
+
+    A band is a hash of ``rows`` registers drawn for it.  The sketch has two
+    bits of each of the 128 registers: two texts of similarity s differ in
+    about 96 * (1 - s) of these pairs of bits.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
+        draw = np.random.default_rng(17)
+        chosen = np.stack([draw.permutation(REGISTERS)[:rows] for _ in range(bands)])
         salt = mix64(np.arange(1, bands + 1, dtype=np.uint64))
         for batch in batches:
             texts = batch.column(1).to_pylist()
@@ -122,15 +131,28 @@ def band_table(texts: DataFrame, *, bands: int = BANDS, rows: int = ROWS, words:
                 has = np.flatnonzero([len(h) > 0 for h, _ in sets])
                 if not len(has):
                     continue
-                sig = signatures([sets[k] for k in has], bands * rows).reshape(len(has), bands, rows)
+                sig = signatures([sets[k] for k in has], REGISTERS)
                 key = np.broadcast_to(salt, (len(has), bands))
                 for k in range(rows):
-                    key = mix64(key ^ sig[:, :, k])
+                    key = mix64(key ^ sig[:, chosen[:, k]])
+                two = mix64(sig)[:, :, None] >> np.array([0, 1], np.uint64) & np.uint64(1)
+                bits = np.packbits(two.reshape(len(has), -1).astype(np.uint8), axis=1).view(np.int64)
+                words_of = pa.ListArray.from_arrays(pa.array(np.arange(0, len(has) * 4 + 1, 4), pa.int32()), pa.array(bits.reshape(-1)))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(has) * bands + 1, bands), pa.int32()),
                                                  pa.array(key.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(has + i)), lists], ["id", "bands"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(has + i)), lists, words_of], ["id", "bands", "sketch"])
+
+    return texts.select("id", "text").mapInArrow(run, "id bigint, bands array<bigint>, sketch array<bigint>")
+
 
-    return texts.select("id", "text").mapInArrow(run, "id bigint, bands array<bigint>")
+def registers_apart(a: str, b: str) -> Column:
+    """Pairs of bits in which two sketch columns differ."""
+    total = F.lit(0)
+    for i in range(REGISTERS * 2 // 64):
+        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
+        total = total + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(PAIRS)))
+    return total
 
 
 def verified(pairs: DataFrame, texts: DataFrame, *, similar: float = SIMILAR, words: int = WORDS) -> DataFrame:
@@ -178,12 +200,14 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
     Candidates: the documents of a bucket (same band) are compared with a
     pivot, the one that shares most buckets with others, not with each
-    other.  Buckets whose documents are not yet in one component go on: each
-    of their components gets a pivot that has not been one, and the
-    documents of other components are compared with it, until every bucket
-    is one component or all its documents have been pivots.  So every link
-    within a bucket that could join two components is tried, while a bucket
-    of n similar documents costs n comparisons.
+    other.  Buckets whose documents are not yet in one component go on: their
+    documents outside the bucket's largest component become pivots, some a
+    round, and are compared with the whole bucket, until no bucket has such a
+    document that has not been one.  So every link within a bucket that could
+    join two components is tried, while a bucket of n similar documents costs
+    n comparisons.  A comparison first looks at
+    the bits in which the sketches differ, inside the join; only pairs that
+    may reach the threshold leave it and are verified on their shingles.
     """
     body = F.col(text).cast("string")
     rows_in = docs.select(F.col(key).cast("bigint").alias("id"), body.alias("text"),
@@ -196,43 +220,47 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     banded = staged(band_table(rows_in.filter("id IS NOT NULL AND digest IS NOT NULL").select("id", "text"),
                                bands=bands, rows=rows, words=words), "bands")
     reps = same.select(F.col("rep").alias("id")).distinct()
-    member = banded.join(reps, "id", "left_semi").select("id", F.explode(F.array_distinct("bands")).alias("bucket"))
-    member = staged(member, "members")
+    banded = staged(banded.join(reps, "id", "left_semi"), "rep-bands")
+    member = banded.select("id", F.explode(F.array_distinct("bands")).alias("bucket"))
     sizes = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     member = staged(member.join(sizes, "bucket"), "buckets")
-    central = member.groupBy("id").agg(F.sum("n").alias("shared"))
+    central = member.groupBy("id").agg(F.sum("n").alias("shared")).join(banded.select("id", "sketch"), "id")
+    central = staged(central.dropDuplicates(["id"]), "sketches")
     member = staged(member.select("bucket", "id").join(central, "id"), "central")
     best = F.max_by("id", F.struct("shared", -F.col("id")))
-    pivots = staged(member.groupBy("bucket").agg(best.alias("pivot")), "pivots")
+    sketch = central.select(F.col("id").alias("pivot"), F.col("sketch").alias("pivot_sketch"))
+    differ = registers_apart("sketch", "pivot_sketch")
+    pivots = staged(member.groupBy("bucket").agg(best.alias("pivot")).join(sketch, "pivot"), "pivots")
+    ids = central.select("id")
     served, links, tried = pivots, None, None
-    component = member.select("id").distinct().withColumn("component", F.col("id"))
-    open_rows = member
-    while True:
-        joined = open_rows.join(pivots, "bucket").filter(F.col("id") != F.col("pivot"))
-        if tried is not None:  # documents that are in one component already need no comparison
-            joined = joined.join(component.select(F.col("id").alias("pivot"), F.col("component").alias("pivot_component")), "pivot")
-            joined = joined.filter(F.col("component") != F.col("pivot_component"))
+    component, open_rows = ids.withColumn("component", F.col("id")), member
+    while not pivots.isEmpty():
+        joined = open_rows.join(pivots, "bucket").filter((F.col("id") != F.col("pivot")) & (differ <= FAR))
         pairs = joined.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
         if tried is not None:
+            # documents that are in one component already, and pairs that have been compared, need no comparison
+            of = component.withColumnRenamed("id", "a"), component.select(F.col("id").alias("b"), F.col("component").alias("other"))
+            pairs = pairs.join(of[0], "a").join(of[1], "b").filter("component <> other").select("a", "b")
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        found = staged(verified(pairs, texts, similar=similar, words=words).select("a", "b"), "links")
-        links = found if links is None else links.union(found)
         tried = pairs if tried is None else tried.union(pairs)
-        component = staged(connected_components(member.select("id").distinct(), links), "components")
+        found = staged(verified(pairs, texts, similar=similar, words=words).select("a", "b"), "links") if not pairs.isEmpty() else None
+        if found is not None and not found.isEmpty():
+            links = found if links is None else links.union(found)
+            component = staged(connected_components(ids, links), "components")
         state = member.join(component, "id")
-        mixed = state.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(
-            "lo <> hi").select("bucket")
-        open_rows = staged(state.join(mixed, "bucket"), "open")
-        # rows that have not been a pivot of their bucket: the most central of each component there, some components a round
-        fresh = open_rows.join(served.select("bucket", F.col("pivot").alias("id")), ["bucket", "id"], "left_anti")
-        each = fresh.groupBy("bucket", "component").agg(best.alias("pivot"), F.max("shared").alias("shared"))
-        order = Window.partitionBy("bucket").orderBy(F.desc("shared"), "pivot")
-        chosen = each.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= PIVOTS).select("bucket", "pivot")
+        parts = state.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("rows"))
+        mixed = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("rows", "component")).alias("largest"))
+        open_rows = staged(state.join(mixed.filter("parts > 1").drop("parts"), "bucket"), "open")
+        # of two documents in different components one is outside the largest: those become pivots, the most central first
+        fresh = open_rows.filter("component <> largest").join(
+            served.select("bucket", F.col("pivot").alias("id")), ["bucket", "id"], "left_anti")
+        order = Window.partitionBy("bucket").orderBy(F.desc("shared"), "id")
+        chosen = fresh.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= PIVOTS)
+        chosen = chosen.select("bucket", F.col("id").alias("pivot"), F.col("sketch").alias("pivot_sketch"))
         pivots = staged(chosen, "pivots")
-        served = served.union(pivots)
+        served = served.unionByName(pivots)
+        open_rows = open_rows.drop("component", "largest")
     of_text = same.join(component.withColumnRenamed("id", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("class_id"))
     out = rows_in.select("id", "digest").join(of_text, "digest", "left")
