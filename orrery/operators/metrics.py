@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..specs import DERIVED_FEATURES, EXCLUDED_FEATURE_COLUMNS, FEATURE_GROUP_ORDER, MAPE_EPSILON, THRESHOLD_STEPS
+from ..specs import DERIVED_FEATURES, EXCLUDED_FEATURE_COLUMNS, MAPE_EPSILON, THRESHOLD_STEPS
 
 AUC_BUCKETS = 256
 
@@ -178,20 +178,22 @@ def feature_columns(features: DataFrame) -> DataFrame:
     return long.select("feature_name", (F.row_number().over(order) - 1).alias("position"))
 
 
+#: V4: (pattern, group) in order of precedence; the last pattern takes every name.
+FEATURE_GROUP_PATTERNS = (
+    (r"_was_imputed$", "imputation_flags"),
+    (r"_zscore$", "normalized_scores"),
+    (r"_roll_", "rolling_stats"),
+    (f"^({'|'.join(DERIVED_FEATURES)})$", "derived_operational"),
+    (r"", "base_metrics"),
+)
+
+
 def feature_group_of(name):
-    """V4 precedence: imputation flag, z-score, rolling, derived, else base metric."""
-    return (
-        F.when(name.endswith("_was_imputed"), F.lit("imputation_flags"))
-        .when(name.endswith("_zscore"), F.lit("normalized_scores"))
-        .when(name.contains("_roll_"), F.lit("rolling_stats"))
-        .when(name.isin(*DERIVED_FEATURES), F.lit("derived_operational"))
-        .otherwise(F.lit("base_metrics"))
-    )
+    """The group of the first pattern found in the name."""
+    found = [F.when(name.rlike(pattern), F.lit(group)) for pattern, group in FEATURE_GROUP_PATTERNS]
+    return F.coalesce(*found)
 
 
 def feature_groups(columns: DataFrame) -> DataFrame:
     """(feature_name, position, group_name); empty groups simply have no rows."""
     return columns.withColumn("group_name", feature_group_of(F.col("feature_name")))
-
-
-GROUP_ORDER = FEATURE_GROUP_ORDER

@@ -38,12 +38,12 @@ def detect_format(path: str) -> str:
 
 
 def with_row_ordinals(df: DataFrame, *, start: int = 2) -> DataFrame:
-    """Ordinal of each row within its file, without a single-task window.
+    """Ordinal of each row within its source, a file or a directory of part files.
 
-    Rows of one split are contiguous, splits of one file are ordered by
-    their byte offset.  A small per-split count table (one row per split,
-    bounded by the number of input splits) gives each split its offset;
-    it is broadcast back.  Equivalent to zipWithIndex per file.
+    Rows of one split are contiguous; splits are ordered by file path and byte
+    offset, so ordinals are unique over a directory too.  The window runs over
+    the per-split counts (one row per input split), not over the rows, and
+    its offsets are joined back on the split.
     """
     tagged = df.select(
         "*",
@@ -53,10 +53,10 @@ def with_row_ordinals(df: DataFrame, *, start: int = 2) -> DataFrame:
         F.monotonically_increasing_id().alias("_mid"),
     )
     splits = tagged.groupBy("_file", "_pid", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    by_file = Window.partitionBy("_file").orderBy("_block", "_pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_file", "_block", "_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("_file", "_pid", "_block", "_first",
-                            F.coalesce(F.sum("_n").over(by_file), F.lit(0)).alias("_offset"))
-    joined = tagged.join(F.broadcast(offsets), ["_file", "_pid", "_block"])
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    joined = tagged.join(offsets, ["_file", "_pid", "_block"])
     return joined.withColumn("row_number", F.col("_offset") + (F.col("_mid") - F.col("_first")) + F.lit(start)).drop(
         "_file", "_block", "_pid", "_mid", "_first", "_offset")
 
@@ -74,7 +74,12 @@ def _project(df: DataFrame, present: list[str], *, blank_present: bool) -> DataF
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(path)
+    """Records as RFC 4180 writes them: doubled quotes, line breaks inside quotes, plain backslashes.
+
+    Line breaks inside quotes make a file one split; large inputs belong in
+    many files.
+    """
+    df = spark.read.options(header=True, inferSchema=False, mode="PERMISSIVE", quote='"', escape='"', multiLine=True).csv(path)
     df = with_row_ordinals(df)
     return _project(df, [c for c in df.columns if c != "row_number"], blank_present=True)
 
