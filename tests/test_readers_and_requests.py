@@ -40,4 +40,4 @@ def test_requests_need_keys_and_a_readable_time(spark):
     checked = normalized_window_start(validate_requests(spark.createDataFrame(rows, REQUEST)))
     got = [(r.request_issue is None, r.window_start_normalized) for r in checked.select("request_issue", "window_start_normalized").collect()]
     assert [g[0] for g in got] == [True, False, False, False, True]
-    assert got[0][1] == "2026-04-14T10:10:00+02:00" and got[3][1] is None and got[4][1] == "2026-04-14T23:00:00+00:00"
+    assert got[0][1] == "2026-04-14T10:10:00+02:00" and got[3][1] is None and got[4][1] == "2026-04-14T23:00:00"
