@@ -27,6 +27,7 @@ WORDS, SIMILAR = 5, 0.8
 REGISTERS, BANDS, ROWS = 128, 50, 8  # a pair at 0.9 misses all bands with probability below 1e-6, one at 0.8 with 0.01
 FAR = 31  # registers in which the sketches of a pair may differ: 19.2 are expected at 0.8, this is 3 deviations more
 PAIRS = 0x5555555555555555
+FIRST_BANDS = 5  # bands whose buckets are compared first: most documents that belong together meet there
 PIVOTS = 64  # documents of a bucket that become pivots in one round
 
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -95,18 +96,20 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int) -> np.
 
 
 def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Sum over shared d of 1 / sum over d' of max(a[d'] / a[d], b[d'] / b[d]); 0 if either is empty."""
+    """Sum over shared d of 1 / sum over d' of max(a[d'] / a[d], b[d'] / b[d]); 0 if either is empty.  Hashes ascend."""
     (ha, ca), (hb, cb) = a, b
-    both, ia, ib = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
-    if not len(both):
+    if not len(ha) or not len(hb):
         return 0.0
-    xa, xb = ca[ia].astype(float), cb[ib].astype(float)
-    only_a, only_b = ca.sum() - xa.sum(), cb.sum() - xb.sum()
+    at = np.minimum(np.searchsorted(hb, ha), len(hb) - 1)
+    hit = hb[at] == ha
+    xa, xb = ca[hit].astype(np.uint64), cb[at[hit]].astype(np.uint64)
+    only_a, only_b = float(ca.sum() - xa.sum()), float(cb.sum() - xb.sum())
     # the inner sum depends on the two counts of d alone, and few pairs of counts occur
-    pairs, times = np.unique(np.stack([xa, xb]), axis=1, return_counts=True)
+    pairs, times = np.unique(xa << np.uint64(32) | xb, return_counts=True)
+    count_a, count_b = (pairs >> np.uint64(32)).astype(float), (pairs & np.uint64(0xFFFFFFFF)).astype(float)
     total = 0.0
-    for (wa, wb), n in zip(pairs.T, times, strict=True):
-        shared = (np.maximum(pairs[0] / wa, pairs[1] / wb) * times).sum()
+    for wa, wb, n in zip(count_a, count_b, times, strict=True):
+        shared = (np.maximum(count_a / wa, count_b / wb) * times).sum()
         total += n / (only_a / wa + only_b / wb + shared)
     return float(total)
 
@@ -155,10 +158,10 @@ def registers_apart(a: str, b: str) -> Column:
     return total
 
 
-def verified(pairs: DataFrame, texts: DataFrame, *, similar: float = SIMILAR, words: int = WORDS) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, same: DataFrame, *, similar: float = SIMILAR, words: int = WORDS) -> DataFrame:
     """Of (a, b) id pairs those whose exact probability Jaccard similarity is at least ``similar``.
 
-    Shingle sets are made once for each text that occurs in a pair, then
+    Shingle sets are made once for each text (of ``texts``, if ``same`` has it) that occurs in a pair, then
     joined to both ends; a text in very many pairs is a skewed join key that
     adaptive execution splits.
     """
@@ -179,7 +182,8 @@ def verified(pairs: DataFrame, texts: DataFrame, *, similar: float = SIMILAR, wo
                           for a, x, b, y in zip(ha, ca, hb, cb, strict=True)])
 
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = texts.join(ids, "id", "left_semi").select("id", shingles("text").alias("s"))
+    own = texts.join(ids, "id", "left_semi").join(same.select(F.col("rep").alias("id"), "digest"), ["id", "digest"], "left_semi")
+    sets = own.select("id", shingles("text").alias("s"))
     sets = staged(sets.select("id", "s.hashes", "s.counts"), "shingles")
     left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha"), F.col("counts").alias("ca"))
     right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb"), F.col("counts").alias("cb"))
@@ -199,68 +203,76 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     empty result.
 
     Candidates: the documents of a bucket (same band) are compared with a
-    pivot, the one that shares most buckets with others, not with each
-    other.  Buckets whose documents are not yet in one component go on: their
-    documents outside the bucket's largest component become pivots, some a
-    round, and are compared with the whole bucket, until no bucket has such a
-    document that has not been one.  So every link within a bucket that could
-    join two components is tried, while a bucket of n similar documents costs
-    n comparisons.  A comparison first looks at
+    pivot, not with each other, and only if pivot and document are in
+    different components.  The pivot is of the bucket's largest component,
+    the document there that shares most buckets with others.  The
+    first round takes the buckets of ``FIRST_BANDS`` bands, the next ones
+    those of all bands whose documents are not yet in one component (others
+    are done for good).  A bucket that stays open makes further pivots of its
+    documents outside its largest component, some a round, each compared with
+    the whole bucket, until it has none that has not been one.  So every link
+    within a bucket that could join two components is tried, while a bucket
+    of n similar documents costs n comparisons.  A comparison first looks at
     the bits in which the sketches differ, inside the join; only pairs that
     may reach the threshold leave it and are verified on their shingles.
     """
     body = F.col(text).cast("string")
     rows_in = docs.select(F.col(key).cast("bigint").alias("id"), body.alias("text"),
                           F.when(body.rlike(r"\S"), F.md5(body.cast("binary"))).alias("digest"))
-    same = rows_in.filter("id IS NOT NULL AND digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"))
-    same = staged(same, "same-text")
-    # one row for each distinct text: that of its representative (repeated keys: any row of that text)
-    texts = rows_in.filter("digest IS NOT NULL").select("id", "text", "digest").join(
-        same.select(F.col("rep").alias("id"), "digest"), ["id", "digest"], "left_semi").select("id", "text")
-    banded = staged(band_table(rows_in.filter("id IS NOT NULL AND digest IS NOT NULL").select("id", "text"),
-                               bands=bands, rows=rows, words=words), "bands")
+    worded = rows_in.filter("id IS NOT NULL AND digest IS NOT NULL")
+    same = staged(worded.groupBy("digest").agg(F.min("id").alias("rep")), "same-text")
     reps = same.select(F.col("rep").alias("id")).distinct()
-    banded = staged(banded.join(reps, "id", "left_semi"), "rep-bands")
-    member = banded.select("id", F.explode(F.array_distinct("bands")).alias("bucket"))
+    banded = staged(band_table(worded.select("id", "text").join(reps, "id", "left_semi"), bands=bands, rows=rows, words=words), "bands")
+    member = banded.select("id", F.posexplode("bands").alias("band", "bucket"))
     sizes = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     member = staged(member.join(sizes, "bucket"), "buckets")
-    central = member.groupBy("id").agg(F.sum("n").alias("shared")).join(banded.select("id", "sketch"), "id")
-    central = staged(central.dropDuplicates(["id"]), "sketches")
-    member = staged(member.select("bucket", "id").join(central, "id"), "central")
-    best = F.max_by("id", F.struct("shared", -F.col("id")))
-    sketch = central.select(F.col("id").alias("pivot"), F.col("sketch").alias("pivot_sketch"))
+    central = member.groupBy("id").agg(F.sum("n").alias("shared")).join(banded.select("id", "sketch").dropDuplicates(["id"]), "id")
+    member = staged(member.select("bucket", "band", "id").join(central, "id"), "members")
+    ids = member.select("id").distinct()
+    component, links, served, tried = ids.withColumn("component", F.col("id")), None, None, None
     differ = registers_apart("sketch", "pivot_sketch")
-    pivots = staged(member.groupBy("bucket").agg(best.alias("pivot")).join(sketch, "pivot"), "pivots")
-    ids = central.select("id")
-    served, links, tried = pivots, None, None
-    component, open_rows = ids.withColumn("component", F.col("id")), member
-    while not pivots.isEmpty():
-        joined = open_rows.join(pivots, "bucket").filter((F.col("id") != F.col("pivot")) & (differ <= FAR))
+    central_first = Window.partitionBy("bucket").orderBy(F.desc("shared"), "id")
+    while True:
+        if served is None:
+            open_rows = member.filter(F.col("band") < FIRST_BANDS).withColumn("component", F.col("id"))
+        else:
+            parts = member.select("bucket", "id").join(component, "id").groupBy("bucket").agg(
+                F.min("component").alias("low"), F.max("component").alias("high"))
+            mixed = parts.filter("low < high").select("bucket")
+            open_rows = staged(member.join(mixed, "bucket", "left_semi").join(component, "id"), "open")
+            member = open_rows.drop("component")  # a bucket in one component stays so
+        pivot = F.struct("id", "component", "sketch")
+        counted = open_rows.groupBy("bucket", "component").agg(
+            F.count(F.lit(1)).alias("rows"), F.max_by(pivot, F.struct("shared", -F.col("id"))).alias("p"), F.max("shared").alias("top"))
+        largest = counted.groupBy("bucket").agg(F.max_by(F.struct("component", "p"), F.struct("rows", "top", "component")).alias("most"))
+        columns = ("bucket", F.col("p.id").alias("pivot"), F.col("p.component").alias("pivot_component"), F.col("p.sketch").alias("pivot_sketch"))
+        if served is None:
+            pivots = staged(largest.select("bucket", "most.p").select(*columns), "pivots")
+        else:
+            largest = staged(largest, "largest")
+            had = served.select("bucket").distinct()
+            pivots = staged(largest.join(had, "bucket", "left_anti").select("bucket", "most.p").select(*columns), "pivots")
+            if pivots.isEmpty():
+                # of two documents in different components one is outside the largest: those become pivots, the most central first
+                again = open_rows.join(largest.select("bucket", F.col("most.component").alias("largest")), "bucket").filter("component <> largest")
+                again = again.join(served.select("bucket", F.col("pivot").alias("id")), ["bucket", "id"], "left_anti")
+                again = again.withColumn("at", F.row_number().over(central_first)).filter(F.col("at") <= PIVOTS)
+                pivots = staged(again.select("bucket", pivot.alias("p")).select(*columns), "pivots")
+            if pivots.isEmpty():
+                break
+        served = pivots.select("bucket", "pivot") if served is None else served.unionByName(pivots.select("bucket", "pivot"))
+        joined = open_rows.join(pivots, "bucket").filter((F.col("component") != F.col("pivot_component")) & (differ <= FAR))
         pairs = joined.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
         if tried is not None:
-            # documents that are in one component already, and pairs that have been compared, need no comparison
-            of = component.withColumnRenamed("id", "a"), component.select(F.col("id").alias("b"), F.col("component").alias("other"))
-            pairs = pairs.join(of[0], "a").join(of[1], "b").filter("component <> other").select("a", "b")
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        found = staged(verified(pairs, texts, similar=similar, words=words).select("a", "b"), "links") if not pairs.isEmpty() else None
-        if found is not None and not found.isEmpty():
-            links = found if links is None else links.union(found)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        if pairs.isEmpty():
+            continue
+        found = staged(verified(pairs, worded, same, similar=similar, words=words).select("a", "b"), "links")
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
             component = staged(connected_components(ids, links), "components")
-        state = member.join(component, "id")
-        parts = state.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("rows"))
-        mixed = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("rows", "component")).alias("largest"))
-        open_rows = staged(state.join(mixed.filter("parts > 1").drop("parts"), "bucket"), "open")
-        # of two documents in different components one is outside the largest: those become pivots, the most central first
-        fresh = open_rows.filter("component <> largest").join(
-            served.select("bucket", F.col("pivot").alias("id")), ["bucket", "id"], "left_anti")
-        order = Window.partitionBy("bucket").orderBy(F.desc("shared"), "id")
-        chosen = fresh.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= PIVOTS)
-        chosen = chosen.select("bucket", F.col("id").alias("pivot"), F.col("sketch").alias("pivot_sketch"))
-        pivots = staged(chosen, "pivots")
-        served = served.unionByName(pivots)
-        open_rows = open_rows.drop("component", "largest")
     of_text = same.join(component.withColumnRenamed("id", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("class_id"))
     out = rows_in.select("id", "digest").join(of_text, "digest", "left")
