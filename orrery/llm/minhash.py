@@ -21,13 +21,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.common import connected_components, staged, text_slices
+from orrery.llm.common import arrow_batches, connected_components, staged, text_slices
 
 WORDS, SIMILAR = 5, 0.8
 REGISTERS, BANDS, ROWS = 128, 50, 8  # a pair at 0.9 misses all bands with probability below 1e-6, one at 0.8 with 0.01
 FAR = 31  # registers in which the sketches of a pair may differ: 19.2 are expected at 0.8, this is 3 deviations more
 PAIRS = 0x5555555555555555
 FIRST_BANDS = 5  # bands whose buckets are compared first: most documents that belong together meet there
+BATCH_ROWS = 1000  # rows that Python holds at once: whole texts, or two shingle sets each
 PIVOTS = 64  # documents of a bucket that become pivots in one round
 
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -44,7 +45,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Shingle hashes with counts; known words are kept in a table that is emptied when it has grown past a bound."""
 
-    def __init__(self, words: int = WORDS, keep: int = 250_000):
+    def __init__(self, words: int = WORDS, keep: int = 100_000):
         self.words, self.keep, self.known = words, keep, {}
 
     def of(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -187,6 +188,7 @@ def verified(pairs: DataFrame, texts: DataFrame, same: DataFrame, *, similar: fl
     sets = staged(sets.select("id", "s.hashes", "s.counts"), "shingles")
     left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha"), F.col("counts").alias("ca"))
     right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb"), F.col("counts").alias("cb"))
+    # a row of the comparison holds two whole shingle sets
     scored = pairs.join(left, "a").join(right, "b").select("a", "b", similarity("ha", "ca", "hb", "cb").alias("similarity"))
     return scored.filter(F.col("similarity") >= similar)
 
@@ -222,7 +224,8 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     worded = rows_in.filter("id IS NOT NULL AND digest IS NOT NULL")
     same = staged(worded.groupBy("digest").agg(F.min("id").alias("rep")), "same-text")
     reps = same.select(F.col("rep").alias("id")).distinct()
-    banded = staged(band_table(worded.select("id", "text").join(reps, "id", "left_semi"), bands=bands, rows=rows, words=words), "bands")
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        banded = staged(band_table(worded.select("id", "text").join(reps, "id", "left_semi"), bands=bands, rows=rows, words=words), "bands")
     member = banded.select("id", F.posexplode("bands").alias("band", "bucket"))
     sizes = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     member = staged(member.join(sizes, "bucket"), "buckets")
@@ -269,7 +272,8 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         tried = pairs if tried is None else tried.unionByName(pairs)
         if pairs.isEmpty():
             continue
-        found = staged(verified(pairs, worded, same, similar=similar, words=words).select("a", "b"), "links")
+        with arrow_batches(docs.sparkSession, BATCH_ROWS):
+            found = staged(verified(pairs, worded, same, similar=similar, words=words).select("a", "b"), "links")
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             component = staged(connected_components(ids, links), "components")
