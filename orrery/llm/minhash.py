@@ -25,7 +25,7 @@ from orrery.llm.common import arrow_batches, connected_components, staged, text_
 
 WORDS, SIMILAR = 5, 0.8
 REGISTERS, BANDS, ROWS = 128, 50, 8  # a pair at 0.9 misses all bands with probability below 1e-6, one at 0.8 with 0.01
-FAR = 31  # registers in which the sketches of a pair may differ: 19.2 are expected at 0.8, this is 3 deviations more
+FINE_REGISTERS = 1024  # registers of the sketches with which documents of open buckets are compared
 PAIRS = 0x5555555555555555
 FIRST_BANDS = 5  # bands whose buckets are compared first: most documents that belong together meet there
 BATCH_ROWS = 1000  # rows that Python holds at once: whole texts, or two shingle sets each
@@ -115,6 +115,20 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float(total)
 
 
+def sketch_of(sig: np.ndarray) -> pa.ListArray:
+    """Two bits of every register of each signature, 32 registers in a bigint."""
+    two = mix64(sig)[:, :, None] >> np.array([0, 1], np.uint64) & np.uint64(1)
+    bits = np.packbits(two.reshape(len(sig), -1).astype(np.uint8), axis=1).view(np.int64)
+    ends = np.arange(0, bits.size + 1, bits.shape[1])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bits.reshape(-1)))
+
+
+def far(registers: int, similar: float) -> int:
+    """Registers in which two sketches of similarity ``similar`` differ, four deviations above the expectation."""
+    differ = 0.75 * (1 - similar)
+    return int(registers * differ + 4 * (registers * differ * (1 - differ)) ** 0.5)
+
+
 def band_table(texts: DataFrame, *, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
     """(id, bands: array<bigint>, sketch: array<bigint>) of (id, text) rows; no row for a text without a word.
 
@@ -139,21 +153,40 @@ def band_table(texts: DataFrame, *, bands: int = BANDS, rows: int = ROWS, words:
                 key = np.broadcast_to(salt, (len(has), bands))
                 for k in range(rows):
                     key = mix64(key ^ sig[:, chosen[:, k]])
-                two = mix64(sig)[:, :, None] >> np.array([0, 1], np.uint64) & np.uint64(1)
-                bits = np.packbits(two.reshape(len(has), -1).astype(np.uint8), axis=1).view(np.int64)
-                words_of = pa.ListArray.from_arrays(pa.array(np.arange(0, len(has) * 4 + 1, 4), pa.int32()), pa.array(bits.reshape(-1)))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(has) * bands + 1, bands), pa.int32()),
                                                  pa.array(key.reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(has + i)), lists, words_of], ["id", "bands", "sketch"])
+                    [batch.column(0).take(pa.array(has + i)), lists, sketch_of(sig)], ["id", "bands", "sketch"])
 
     return texts.select("id", "text").mapInArrow(run, "id bigint, bands array<bigint>, sketch array<bigint>")
 
 
-def registers_apart(a: str, b: str) -> Column:
+def fine_sketches(texts: DataFrame, *, words: int = WORDS) -> DataFrame:
+    """(id, sketch) of (id, text) rows over ``FINE_REGISTERS`` registers; no row for a text without a word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
+        for batch in batches:
+            body = batch.column(1).to_pylist()
+            for i, j in text_slices(body):
+                sets = shingler.of(body[i:j])
+                has = np.flatnonzero([len(h) > 0 for h, _ in sets])
+                if len(has):
+                    sketch = sketch_of(signatures([sets[k] for k in has], FINE_REGISTERS))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(has + i)), sketch], ["id", "sketch"])
+
+    return texts.select("id", "text").mapInArrow(run, "id bigint, sketch array<bigint>")
+
+
+def one_of(name: str) -> Column:
+    """The value that all rows of a group have; null if they differ (a key with several texts)."""
+    return F.when(F.min(name) == F.max(name), F.min(name)).alias(name)
+
+
+def registers_apart(a: str, b: str, registers: int) -> Column:
     """Pairs of bits in which two sketch columns differ."""
     total = F.lit(0)
-    for i in range(REGISTERS * 2 // 64):
+    for i in range(registers * 2 // 64):
         x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
         total = total + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(PAIRS)))
     return total
@@ -217,6 +250,8 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     of n similar documents costs n comparisons.  A comparison first looks at
     the bits in which the sketches differ, inside the join; only pairs that
     may reach the threshold leave it and are verified on their shingles.
+    After the first round the documents of open buckets get longer sketches,
+    and a pair leaves the join in the first band that its documents share.
     """
     body = F.col(text).cast("string")
     rows_in = docs.select(F.col(key).cast("bigint").alias("id"), body.alias("text"),
@@ -229,11 +264,10 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     member = banded.select("id", F.posexplode("bands").alias("band", "bucket"))
     sizes = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     member = staged(member.join(sizes, "bucket"), "buckets")
-    central = member.groupBy("id").agg(F.sum("n").alias("shared")).join(banded.select("id", "sketch").dropDuplicates(["id"]), "id")
+    central = member.groupBy("id").agg(F.sum("n").alias("shared")).join(banded.groupBy("id").agg(one_of("sketch")), "id")
     member = staged(member.select("bucket", "band", "id").join(central, "id"), "members")
     ids = member.select("id").distinct()
-    component, links, served, tried = ids.withColumn("component", F.col("id")), None, None, None
-    differ = registers_apart("sketch", "pivot_sketch")
+    component, links, served, tried, fine = ids.withColumn("component", F.col("id")), None, None, None, False
     central_first = Window.partitionBy("bucket").orderBy(F.desc("shared"), "id")
     while True:
         if served is None:
@@ -242,13 +276,23 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             parts = member.select("bucket", "id").join(component, "id").groupBy("bucket").agg(
                 F.min("component").alias("low"), F.max("component").alias("high"))
             mixed = parts.filter("low < high").select("bucket")
-            open_rows = staged(member.join(mixed, "bucket", "left_semi").join(component, "id"), "open")
+            member = member.join(mixed, "bucket", "left_semi")
+            if not fine:
+                fine, member = True, staged(member.drop("sketch"), "open-members")
+                named = member.select("id").distinct()
+                with arrow_batches(docs.sparkSession, BATCH_ROWS):
+                    sharp = staged(fine_sketches(worded.join(reps, "id", "left_semi").join(named, "id", "left_semi"), words=words), "sketches")
+                own = sharp.groupBy("id").agg(one_of("sketch")).join(
+                    banded.join(named, "id", "left_semi").groupBy("id").agg(one_of("bands")), "id")
+                member = member.join(own, "id")
+            open_rows = staged(member.join(component, "id"), "open")
             member = open_rows.drop("component")  # a bucket in one component stays so
-        pivot = F.struct("id", "component", "sketch")
+        pivot = F.struct("id", "component", "sketch", *(["bands"] if fine else []))
         counted = open_rows.groupBy("bucket", "component").agg(
             F.count(F.lit(1)).alias("rows"), F.max_by(pivot, F.struct("shared", -F.col("id"))).alias("p"), F.max("shared").alias("top"))
         largest = counted.groupBy("bucket").agg(F.max_by(F.struct("component", "p"), F.struct("rows", "top", "component")).alias("most"))
-        columns = ("bucket", F.col("p.id").alias("pivot"), F.col("p.component").alias("pivot_component"), F.col("p.sketch").alias("pivot_sketch"))
+        columns = ("bucket", F.col("p.id").alias("pivot"), F.col("p.component").alias("pivot_component"), F.col("p.sketch").alias("pivot_sketch"),
+                   *([F.col("p.bands").alias("pivot_bands")] if fine else []))
         if served is None:
             pivots = staged(largest.select("bucket", "most.p").select(*columns), "pivots")
         else:
@@ -264,7 +308,12 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             if pivots.isEmpty():
                 break
         served = pivots.select("bucket", "pivot") if served is None else served.unionByName(pivots.select("bucket", "pivot"))
-        joined = open_rows.join(pivots, "bucket").filter((F.col("component") != F.col("pivot_component")) & (differ <= FAR))
+        registers = FINE_REGISTERS if fine else REGISTERS
+        near = F.coalesce(registers_apart("sketch", "pivot_sketch", registers) <= far(registers, similar), F.lit(True))
+        if fine:
+            first_shared = F.array_position(F.zip_with("bands", "pivot_bands", lambda x, y: x == y), True) - 1
+            near = near & F.coalesce(first_shared == F.col("band"), F.lit(True))
+        joined = open_rows.join(pivots, "bucket").filter((F.col("component") != F.col("pivot_component")) & near)
         pairs = joined.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
