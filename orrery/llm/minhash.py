@@ -29,6 +29,7 @@ FINE_REGISTERS = 1024  # registers of the sketches with which documents of open
 PAIRS = 0x5555555555555555
 FIRST_BANDS = 5  # bands whose buckets are compared first: most documents that belong together meet there
 BATCH_ROWS = 1000  # rows that Python holds at once: whole texts, or two shingle sets each
+SLICE_CHARS = 1 << 18  # characters whose shingles are made together, one text at least
 PIVOTS = 64  # documents of a bucket that become pivots in one round
 
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -144,7 +145,7 @@ def band_table(texts: DataFrame, *, bands: int = BANDS, rows: int = ROWS, words:
         salt = mix64(np.arange(1, bands + 1, dtype=np.uint64))
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for i, j in text_slices(texts):
+            for i, j in text_slices(texts, SLICE_CHARS):
                 sets = shingler.of(texts[i:j])
                 has = np.flatnonzero([len(h) > 0 for h, _ in sets])
                 if not len(has):
@@ -168,7 +169,7 @@ def fine_sketches(texts: DataFrame, *, words: int = WORDS) -> DataFrame:
         shingler = Shingler(words)
         for batch in batches:
             body = batch.column(1).to_pylist()
-            for i, j in text_slices(body):
+            for i, j in text_slices(body, SLICE_CHARS):
                 sets = shingler.of(body[i:j])
                 has = np.flatnonzero([len(h) > 0 for h, _ in sets])
                 if len(has):
@@ -205,7 +206,7 @@ def verified(pairs: DataFrame, texts: DataFrame, same: DataFrame, *, similar: fl
         shingler = Shingler(words)
         for batch in batches:
             body, out = list(batch), []
-            for i, j in text_slices(body):
+            for i, j in text_slices(body, SLICE_CHARS):
                 out += [(h.tobytes(), c.astype(np.uint32).tobytes()) for h, c in shingler.of(body[i:j])]
             yield pd.DataFrame(out, columns=["hashes", "counts"])
 
@@ -260,7 +261,8 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     same = staged(worded.groupBy("digest").agg(F.min("id").alias("rep")), "same-text")
     reps = same.select(F.col("rep").alias("id")).distinct()
     with arrow_batches(docs.sparkSession, BATCH_ROWS):
-        banded = staged(band_table(worded.select("id", "text").join(reps, "id", "left_semi"), bands=bands, rows=rows, words=words), "bands")
+        # signatures are made where the texts are read, copies included: only bands and sketches are shuffled, never all texts
+        banded = staged(band_table(worded, bands=bands, rows=rows, words=words).join(reps, "id", "left_semi"), "bands")
     member = banded.select("id", F.posexplode("bands").alias("band", "bucket"))
     sizes = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     member = staged(member.join(sizes, "bucket"), "buckets")
