@@ -30,7 +30,7 @@ PAIRS = 0x5555555555555555
 FIRST_BANDS = 5  # bands whose buckets are compared first: most documents that belong together meet there
 BATCH_ROWS = 1000  # rows that Python holds at once: whole texts, or two shingle sets each
 SLICE_CHARS = 1 << 18  # characters whose shingles are made together, one text at least
-PIVOTS = 64  # documents of a bucket that become pivots in one round
+PIVOTS = 256  # documents of a bucket that become pivots in one round
 
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
