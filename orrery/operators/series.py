@@ -294,10 +294,11 @@ def window_features(cleaned: DataFrame, *, metrics: list[str] | None = None, win
         # D3 needs the observed metric names before the wide plan: aggregate
         # to (window, metric) once, cut the lineage there (shared checkpoint
         # folder), read the names from that small table and widen it.
-        from ..session import ensure_checkpoint_dir, materialize
+        from ..session import ensure_checkpoint_dir
+        from ..session import materialize as stage
 
         ensure_checkpoint_dir(cleaned.sparkSession)
-        long = materialize(resample_long(cleaned), "windows-long")
+        long = stage(resample_long(cleaned), "windows-long")
         metrics = discover_metrics(long)
         windows = widen(long, metrics)
     else:
@@ -308,10 +309,11 @@ def window_features(cleaned: DataFrame, *, metrics: list[str] | None = None, win
     if materialize:
         # the z-score statistics and the output both read the windowed table:
         # write it once (shared checkpoint folder) instead of computing it twice
-        from ..session import ensure_checkpoint_dir, materialize
+        from ..session import ensure_checkpoint_dir
+        from ..session import materialize as stage
 
         ensure_checkpoint_dir(base.sparkSession)
-        base = materialize(base, "features-base")
+        base = stage(base, "features-base")
     return add_zscores(base, metrics)
 
 
