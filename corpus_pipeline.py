@@ -22,7 +22,7 @@ from orrery.llm.queries import quality_model, tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_LANGUAGE_SCORE = 0.4  # pooled probability below which no language is accepted
-LEAST_TAIL = 0.5  # of P(grade >= 1)
+LEAST_TAIL = 0.5  # of P(grade >= 2): good and not toxic
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,10 +34,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are at least of grade 1 more likely than not."""
+    """Documents that are good and not toxic (grade 2) more likely than not."""
     model = quality_model(spark, docs, sf_dir)
     scored = docs.withColumn("_s", score_column(model, F.col("text")))
-    return scored.filter(F.col("_s.tails")[0] >= LEAST_TAIL).select(*COLUMNS)
+    return scored.filter(F.col("_s.tails")[1] >= LEAST_TAIL).select(*COLUMNS)
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

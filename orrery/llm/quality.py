@@ -37,8 +37,8 @@ def shape(token: str) -> str:
 
 
 class Features:
-    """Hashed features of texts: whether each word occurs, and shares of the text's tokens: those of each outline,
-    those that follow an equal token, and those that occurred before.
+    """Hashed features of texts: whether each word and each stem (first letters of a longer word) occurs, and shares of
+    the text's tokens: those of each outline, those that follow an equal token, and those that occurred before.
 
     Tokens stand between white space; a token's word is its letters and
     digits in lower case.  Known tokens are kept in a table that is emptied
@@ -48,7 +48,7 @@ class Features:
     def __init__(self, bits: int = BITS, keep: int = 250_000):
         self.mask, self.keep = (1 << bits) - 1, keep
         self.known: dict[str, int] = {}
-        self.outline, self.word = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.outline, self.word, self.stem = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.again, self.before = self._slot("r:again"), self._slot("r:before")
 
     def _slot(self, name: str) -> int:
@@ -58,11 +58,12 @@ class Features:
         new = list(tokens.difference(self.known))
         if len(self.known) + len(new) > self.keep:
             self.known, new = {}, list(tokens)
-            self.outline, self.word = np.empty(0, np.int64), np.empty(0, np.int64)
+            self.outline, self.word, self.stem = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
         words = ["".join(_WORD.findall(t)).lower() for t in new]
         self.outline = np.concatenate([self.outline, np.array([self._slot("s:" + shape(t)) for t in new], np.int64)])
         self.word = np.concatenate([self.word, np.array([self._slot("w:" + w) if w else -1 for w in words], np.int64)])
+        self.stem = np.concatenate([self.stem, np.array([self._slot("p:" + w[:STEM]) if len(w) > STEM else -1 for w in words], np.int64)])
 
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, slot, value) of the texts' features, rows ascending; a text without a token has none."""
@@ -74,8 +75,8 @@ class Features:
         share = SHARE / np.maximum(1, sizes)
         size = self.mask + 1
         outlines, counts = np.unique(row * size + self.outline[ids], return_counts=True)
-        word = self.word[ids]
-        words = np.unique((row * size + word)[word >= 0])
+        word, stem = self.word[ids], self.stem[ids]
+        words = np.unique(np.concatenate([(row * size + word)[word >= 0], (row * size + stem)[stem >= 0]]))
         again = np.bincount(row[1:][(ids[1:] == ids[:-1]) & (row[1:] == row[:-1])], minlength=len(texts))
         distinct = np.bincount(np.unique(row * len(self.known) + ids) // max(1, len(self.known)), minlength=len(texts))
         some = np.flatnonzero(sizes)
@@ -87,7 +88,8 @@ class Features:
         return rows[order], slots[order], values[order]
 
 
-SHARE, WORD = 8.0, 0.5  # values of a share of 1, and of a word that occurs
+SHARE, WORD = 8.0, 0.5  # values of a share of 1, and of a word or stem that occurs
+STEM = 4  # letters of a stem
 
 
 @dataclass
@@ -108,8 +110,11 @@ class Model:
 
 
 def fit_ordinal(features: tuple[np.ndarray, np.ndarray, np.ndarray], grades: np.ndarray, top: int, *, bits: int = BITS,
-                epochs: int = 200, penalty: float = 2e-4, rate: float = 0.05) -> Model:
-    """Maximum likelihood of the cumulative-link model with an L2 penalty, by Adam over all rows.
+                epochs: int = 200, penalty: float = 2e-4, sparse: float = 1e-3, rate: float = 0.05) -> Model:
+    """Maximum likelihood of the cumulative-link model with an L2 and a (smoothed) L1 penalty, by Adam over all rows.
+
+    There are more words than rated rows; the L1 penalty ``sparse`` keeps the
+    few rows of a rare grade from being learned by their incidental words.
 
     Thresholds are the first one and positive gaps (softplus), so their order
     always holds.  Grades weigh the same in total, whatever their share.
@@ -142,7 +147,7 @@ def fit_ordinal(features: tuple[np.ndarray, np.ndarray, np.ndarray], grades: np.
         by_cut = d_cuts[:, 1:-1].sum(axis=0)
         later = np.cumsum(by_cut[::-1])[::-1]
         d_raw = np.concatenate([[later[0]], later[1:] / (1 + np.exp(-raw[1:]))])
-        d_w = np.bincount(slots, d_s[owner] * values, len(known)) + penalty * w
+        d_w = np.bincount(slots, d_s[owner] * values, len(known)) + penalty * w + sparse * np.tanh(50 * w)
         pace = rate * min(1.0, 2 * (1 - step / (epochs + 1)))
         for x, g, m, v in ((w, d_w, moments[0], moments[1]), (raw, d_raw, moments[2], moments[3])):
             m += 0.1 * (g - m)
@@ -223,13 +228,14 @@ def score_column(model: Model, text: Column) -> Column:
 
 def classify(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "text", at_least: int = 1,
              threshold: float = 0.5) -> DataFrame:
-    """(key, expected_grade, p_tail, kept) of every row: kept if P(grade >= ``at_least``) reaches ``threshold``.
+    """(key, expected_grade, p_tail, p_tail_2, kept) of every row: P(grade >= 1), P(grade >= 2) (null if the model has no
+    grade 2), and kept if P(grade >= ``at_least``) reaches ``threshold``.
 
     Null, empty and wordless texts have no feature; they get the grade of
     latent 0.  Repeated rows get equal results, null keys stay null, other
     columns are ignored, an empty table gives an empty result.  No shuffle.
     """
     scored = docs.select(F.col(key), score_column(model, F.col(text)).alias("s"))
-    tail = F.col("s.tails")[at_least - 1]
-    return scored.select(key, F.col("s.expected_grade").alias("expected_grade"), tail.alias("p_tail"),
-                         (tail >= threshold).alias("kept"))
+    tails = F.col("s.tails")
+    return scored.select(key, F.col("s.expected_grade").alias("expected_grade"), tails[0].alias("p_tail"),
+                         F.get(tails, F.lit(1)).alias("p_tail_2"), (tails[at_least - 1] >= threshold).alias("kept"))

@@ -87,7 +87,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orrery.llm.quality import classify
 
     docs = table(spark, sf_dir, "documents")
-    return classify(docs, quality_model(spark, docs, sf_dir))
+    return classify(docs, quality_model(spark, docs, sf_dir), at_least=2)
 
 
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_packing, op3_nearest, op4_near_duplicates, op5_warc,

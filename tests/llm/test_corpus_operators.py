@@ -241,6 +241,31 @@ def test_quality_separates_labels(spark, awkward):
     assert fit(odd.limit(0), labels).weights.any() == False  # noqa: E712
 
 
+def test_quality_rejects_toxic_documents(spark):
+    import corpus_pipeline as pipeline
+    from orrery.llm.quality import fit, grade_column
+    from orrery.llm.queries import op10_quality
+
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1").select("doc_id", "toxic")
+    rated = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", grade_column(F.col("quality"), F.col("toxic")).alias("grade"))
+    held = labels.filter("doc_id % 3 = 0")
+
+    def rates(kept):
+        found = held.join(kept.select("doc_id", F.lit(1).alias("k")), "doc_id", "left")
+        return {r.toxic: r.k for r in found.groupBy("toxic").agg(F.avg(F.coalesce("k", F.lit(0))).alias("k")).collect()}
+
+    with pytest.MonkeyPatch.context() as patch:  # both learn without the held-out labels
+        patch.setattr("orrery.llm.queries.quality_model", lambda s, d, _: fit(d, rated.filter("doc_id % 3 <> 0")))
+        patch.setattr(pipeline, "quality_model", lambda s, d, _: fit(d, rated.filter("doc_id % 3 <> 0")))
+        got = op10_quality(spark, sf)
+        assert {"p_tail", "p_tail_2", "kept"} <= set(got.columns)
+        for kept in (got.filter("kept"), pipeline.quality_stage(spark, docs, sf)):
+            share = rates(kept)
+            assert share[1] < 0.15 and share[0] > 0.95, share
+
+
 def brute_classes(rows, similar=0.8):
     from orrery.llm.minhash import Shingler, probability_jaccard
 
