@@ -49,7 +49,8 @@ def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: whole epochs of its source, and once more if it is sampled."""
-    rows = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row"))
+    # the ids are stored: computed again, they would name other rows if the scan is cut otherwise
+    rows = staged(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "mix-rows")
     copies = staged(mix(rows, carry=("_row",)).filter("taken > 0").select("_row", F.expr("int(taken div size)").alias("_copies")), "mix")
     repeated = rows.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return repeated.select(*COLUMNS)

@@ -410,3 +410,26 @@ def test_pipeline_stages(spark):
     mixed = pipeline.mixing_stage(spark, docs, SF)
     assert mixed.columns == docs.columns and mixed.count() > 0
     assert pipeline.language_stage(spark, docs, SF).count() >= 0.95 * docs.count()
+
+
+def test_mixing_stage_keeps_rows_when_the_scan_is_cut_otherwise(spark, tmp_path):
+    from collections import Counter
+
+    import corpus_pipeline as pipeline
+    from orrery.llm.mixing import mix
+
+    path = str(tmp_path / "docs")
+    spark.read.parquet(f"{SF}/documents.parquet").repartition(12).write.parquet(path)
+    docs = spark.read.parquet(path)
+    want = Counter({r.doc_id: r.taken // r.size for r in mix(docs).collect() if r.taken})
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    name = "spark.sql.files.minPartitionNum"
+    try:
+        spark.conf.set(name, "1")
+        mixed = pipeline.mixing_stage(spark, docs, SF)
+        spark.conf.set(name, "64")  # as if the cluster had grown before the result is written
+        rows = mixed.select("doc_id", "text").collect()
+    finally:
+        spark.conf.unset(name)
+    assert Counter(r.doc_id for r in rows) == want
+    assert all(texts[r.doc_id] == r.text for r in rows)
