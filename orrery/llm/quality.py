@@ -186,20 +186,21 @@ def fit(docs: DataFrame, ratings: DataFrame, *, key: str = "doc_id", text: str =
     rows = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("text")).filter(F.col("text").isNotNull())
     sample = rows.join(F.broadcast(picked), "k")
 
-    @F.pandas_udf("slots array<int>, values array<float>")
+    @F.pandas_udf("slots binary, values binary")  # packed: lists of Python numbers would fill the driver
     def features(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         table = Features()
         for texts in batches:
             row, slot, value = table.of(list(texts))
             cut = np.searchsorted(row, np.arange(1, len(texts)))
-            yield pd.DataFrame({"slots": np.split(slot.astype(np.int32), cut), "values": np.split(value.astype(np.float32), cut)}
+            yield pd.DataFrame({"slots": [x.tobytes() for x in np.split(slot.astype("<i4"), cut)],
+                                "values": [x.tobytes() for x in np.split(value.astype("<f4"), cut)]}
                                if len(texts) else {"slots": [], "values": []})
 
     got = sample.select("k", "grade", features("text").alias("f")).select("k", "grade", "f.*").collect()
     got.sort(key=lambda r: (str(r["k"]), r["slots"], r["values"]))
-    sizes = [len(r["slots"]) for r in got]
-    parts = (np.repeat(np.arange(len(got)), sizes), np.array([x for r in got for x in r["slots"]], np.int64),
-             np.array([x for r in got for x in r["values"]], np.float64))
+    sizes = [len(r["slots"]) // 4 for r in got]
+    parts = (np.repeat(np.arange(len(got)), sizes), np.frombuffer(b"".join(r["slots"] for r in got), "<i4").astype(np.int64),
+             np.frombuffer(b"".join(r["values"] for r in got), "<f4").astype(np.float64))
     return fit_ordinal(parts, np.array([r["grade"] for r in got], np.int64), top, **options)
 
 
