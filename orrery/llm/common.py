@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orrery.session import scratch_path
@@ -53,6 +53,26 @@ def text_slices(texts: Sequence[str | None], limit: int = 1 << 20) -> Iterator[t
         yield start, len(texts)
 
 
+def ranked(df: DataFrame, group: str, order: Sequence[str], name: str = "ranked") -> DataFrame:
+    """``df``, staged, with ``pos`` (place within its ``group`` by ``order``, from 0) and ``size`` (rows of the group).
+
+    Rows are spread by ranges of (group, order), so a large group lies in many
+    partitions; a row number among equal rows splits those as well.  The
+    window runs over one row per partition and group, not over the rows.
+    ``group`` must not be null.
+    """
+    rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), name)
+    keys = [group, *order, "_row"]
+    local = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    spread = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = staged(spread.withColumn("_part", F.spark_partition_id()).withColumn("_local", local).drop("_row"), name)
+    parts = placed.groupBy("_part", group).agg(F.min("_local").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    whole, earlier = Window.partitionBy(group), Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_part", group, F.sum("_n").over(whole).alias("size"),
+                         (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return placed.join(parts, ["_part", group]).withColumn("pos", F.col("_shift") + F.col("_local")).drop("_part", "_local", "_shift")
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame, *, node: str = "id",
                          left: str = "a", right: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable over ``edges``, itself included.

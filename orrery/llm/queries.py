@@ -90,9 +90,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, quality_model(spark, docs, sf_dir), at_least=2)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.merkle import audit
+
+    # the version held against the manifest: the texts of a third of the ids have lost their capitals
+    small = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    hit = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return audit(table(spark, sf_dir, "documents"), {"text": F.when(hit, small).otherwise(F.col("text"))})
+
+
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_packing, op3_nearest, op4_near_duplicates, op5_warc,
                                   op6_embedding_dedup, op7_mixing, op8_url_filter,
-                                  op9_token_count, op10_quality)}
+                                  op9_token_count, op10_quality, op11_merkle)}
 
 SQL = {
     "op5_warc": """
@@ -152,4 +161,52 @@ m AS (
          row_number() OVER (PARTITION BY u.page_id ORDER BY length(r.h || r.p) DESC NULLS LAST) AS k
   FROM u LEFT JOIN r ON (u.host = r.h OR ends_with(u.host, '.' || r.h)) AND starts_with(u.path, r.p))
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m WHERE k = 1""",
+    "op11_merkle": """
+WITH RECURSIVE crc AS (
+  SELECT doc_id, source, lang, n_chars, text, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+                                                    lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                             lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) AS crc
+  FROM documents),
+versions AS (
+  SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+            || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+            || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS head,
+         CASE WHEN crc % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS claimed
+  FROM crc),
+hashed AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(claimed) || ':' || claimed, '-')) AS claim
+  FROM versions),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS n, row_number() OVER () AS id FROM hashed),
+lower AS (
+  SELECT tree, 0 AS depth, pos AS i, leaf AS h, n FROM leaves
+  UNION ALL
+  SELECT tree, depth + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM lower WHERE n > 1
+  GROUP BY tree, depth, i // 8, n),
+tops AS (
+  SELECT tree, h, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n FROM lower WHERE n = 1),
+higher AS (
+  SELECT 0 AS depth, pos AS i, h, n FROM tops
+  UNION ALL
+  SELECT depth + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM higher WHERE n > 1 GROUP BY depth, i // 8, n),
+up AS (
+  SELECT id, tree, 0 AS depth, pos AS i, n, claim AS h, '' AS proof FROM leaves
+  UNION ALL
+  SELECT u.id, u.tree, u.depth + 1, u.i // 8, (u.n + 7) // 8, sha256(string_agg(CASE WHEN l.i = u.i THEN u.h ELSE l.h END, '' ORDER BY l.i)),
+         u.proof || coalesce(string_agg(l.h, '' ORDER BY l.i) FILTER (WHERE l.i <> u.i), '')
+  FROM up u JOIN lower l ON l.tree = u.tree AND l.depth = u.depth AND l.i // 8 = u.i // 8
+  WHERE u.n > 1 GROUP BY u.id, u.tree, u.depth, u.i, u.n, u.h, u.proof),
+upper_path AS (
+  SELECT u.id, 0 AS depth, t.pos AS i, t.n, u.h, u.proof FROM up u JOIN tops t USING (tree) WHERE u.n = 1
+  UNION ALL
+  SELECT u.id, u.depth + 1, u.i // 8, (u.n + 7) // 8, sha256(string_agg(CASE WHEN l.i = u.i THEN u.h ELSE l.h END, '' ORDER BY l.i)),
+         u.proof || coalesce(string_agg(l.h, '' ORDER BY l.i) FILTER (WHERE l.i <> u.i), '')
+  FROM upper_path u JOIN higher l ON l.depth = u.depth AND l.i // 8 = u.i // 8
+  WHERE u.n > 1 GROUP BY u.id, u.depth, u.i, u.n, u.h, u.proof)
+SELECT l.doc_id, l.leaf, t.h AS subroot, r.h AS root, sha256(p.proof) AS proof_sha256, p.h AS folded_root, p.h = r.h AS verified
+FROM leaves l JOIN tops t USING (tree) JOIN upper_path p ON p.id = l.id AND p.n = 1 JOIN higher r ON r.n = 1""",
 }
