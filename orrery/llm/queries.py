@@ -99,9 +99,15 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), {"text": F.when(hit, small).otherwise(F.col("text"))})
 
 
+def op12_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.bin_slack import pack
+
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), payload={"ids_crc32": F.crc32("ids")})
+
+
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_packing, op3_nearest, op4_near_duplicates, op5_warc,
                                   op6_embedding_dedup, op7_mixing, op8_url_filter,
-                                  op9_token_count, op10_quality, op11_merkle)}
+                                  op9_token_count, op10_quality, op11_merkle, op12_min_bin_slack)}
 
 SQL = {
     "op5_warc": """
