@@ -87,7 +87,7 @@ class WordEncoder:
         rows = self._encode([" ".join(letters[i:i + JOINED]) for i in range(0, len(letters), JOINED)])
         ids = np.fromiter((i for row in rows for i in row), "<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) == len(letters) and (not len(ids) or stops[-1] == len(ids)):
+        if letters and len(stops) == len(letters) and stops[-1] == len(ids):
             rest = [p for p in new if not (p.isascii() and p.isalpha())]
         else:
             letters, ids, stops, rest = [], ids[:0], stops[:0], new
