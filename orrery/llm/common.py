@@ -40,6 +40,17 @@ def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Within the block the session has this setting."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_slices(texts: Sequence[str | None], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Consecutive row ranges of about ``limit`` characters each, at least one row."""
     start, size = 0, 0

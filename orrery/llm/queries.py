@@ -105,9 +105,16 @@ def op12_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), payload={"ids_crc32": F.crc32("ids")})
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_packing, op3_nearest, op4_near_duplicates, op5_warc,
                                   op6_embedding_dedup, op7_mixing, op8_url_filter,
-                                  op9_token_count, op10_quality, op11_merkle, op12_min_bin_slack)}
+                                  op9_token_count, op10_quality, op11_merkle, op12_min_bin_slack,
+                                  op13_collocations)}
 
 SQL = {
     "op5_warc": """
@@ -215,4 +222,30 @@ upper_path AS (
   WHERE u.n > 1 GROUP BY u.id, u.depth, u.i, u.n, u.h, u.proof)
 SELECT l.doc_id, l.leaf, t.h AS subroot, r.h AS root, sha256(p.proof) AS proof_sha256, p.h AS folded_root, p.h = r.h AS verified
 FROM leaves l JOIN tops t USING (tree) JOIN upper_path p ON p.id = l.id AND p.n = 1 JOIN higher r ON r.n = 1""",
+    "op13_collocations": r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents),
+p AS (SELECT lang, unnest(pieces) AS piece FROM t),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(ws) - size + 2), lambda i: array_to_string(ws[i:i + size - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest(range(1, 6)) AS size) s WHERE len(ws) >= size),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY lang, size, phrase HAVING count(*) >= 100),
+cuts AS (
+  SELECT lang, phrase, f AS a, size, k, string_split(phrase, ' ') AS ws FROM f, (SELECT unnest(range(1, 5)) AS k) s WHERE k < size),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.size, c.k, x.f AS l, y.f AS r, n,
+         CAST((1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:c.k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.k + 1:], ' ') JOIN totals t ON t.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM f WHERE f.lang = b.lang AND f.size > b.size AND contains(' ' || f.phrase || ' ', ' ' || b.phrase || ' ') AND 100 * f.f >= 100 * b.a))
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+WHERE rank <= 2000""",
 }
