@@ -2,11 +2,12 @@
 
 Texts become word numbers once.  Then, for 2 to 5 words in turn: candidates
 are windows of the corpus whose two overlapping shorter windows are frequent
-(Apriori) and whose bucket of a hashed count reaches the least count; they
-form double-array tries of bounded size, which are broadcast one at a time;
-in each task numpy advances the states of all text positions level by level
-and counts the accepting states, and Spark sums the tasks' counts.  Counts
-are exact: the bucket counts only leave out what cannot be frequent.
+(Apriori) and which hashed counts, and then counts that stop at the least
+count, leave possible; they form double-array tries of bounded size, which
+are broadcast one at a time; in each task numpy advances the states of all
+text positions level by level and counts the accepting states, and Spark sums
+the tasks' counts.  These are exact; the stopped counts before only leave out
+what cannot be frequent.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ LONGEST, LEAST = 5, 100
 SLICE_BYTES = 1 << 18  # text of one row of codes
 VOCABULARY = 1 << 20  # words broadcast at once
 TRIE = 1 << 20  # candidates of one trie
-BUCKETS = 1 << 22  # of the hashed counts
-BLOCK = 1 << 16  # buckets of one row
+BLOCK = 1 << 16  # buckets of the hashed counts in one row
+MOST_BUCKETS = 1 << 26  # a byte each in a task, a bit each in the broadcast
+WORDS_A_BUCKET = 16
 HELD = 1 << 21  # distinct windows that a task holds before it passes them on
 UNDETERMINED = "und"
 
@@ -160,28 +162,28 @@ def windows_of(codes: np.ndarray, trie: Trie | None, good: np.ndarray | None, of
     return number[at] + offset, after[at].astype(np.int64)
 
 
-def bucket_of(windows: np.ndarray) -> np.ndarray:
+def bucket_of(windows: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket of each window: a multiplicative hash."""
-    return ((windows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+    return ((windows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - buckets.bit_length())).astype(np.int64)
 
 
-def likely_buckets(codes: DataFrame, shared, least: int, words: int) -> np.ndarray:
+def likely_buckets(codes: DataFrame, shared, least: int, words: int, buckets: int) -> np.ndarray:
     """Bits of the buckets whose windows occur ``least`` times or more in all.
 
     A task's count stops at ``least``: a sum of stopped counts reaches it
     exactly when the sum of the true ones does.  Tasks give blocks of
     buckets; blocks are dealt over the tasks that add them up one row at a
-    time, and BUCKETS / 8 bytes come to the driver.
+    time, and a bit for each bucket comes to the driver.
     """
     kind = np.uint8 if least < 256 else np.uint32
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(BUCKETS, np.int64)
+        own = np.zeros(buckets, kind)
         for array in arrays_of(batches):
-            for number, word in (windows_of(array, *shared.value),):
-                own += np.bincount(bucket_of(number * words + word), minlength=BUCKETS)
-        own = np.minimum(own, least).astype(kind)
-        for block in range(0, BUCKETS, BLOCK):
+            number, word = windows_of(array, *shared.value)
+            at, more = np.unique(bucket_of(number * words + word, buckets), return_counts=True)
+            own[at] = np.minimum(own[at] + more, least)
+        for block in range(0, buckets, BLOCK):
             some = own[block:block + BLOCK]
             if some.any():
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([some.tobytes()], pa.binary())], ["block", "counts"])
@@ -205,27 +207,34 @@ def likely_buckets(codes: DataFrame, shared, least: int, words: int) -> np.ndarr
 
     blocks = codes.mapInArrow(count, "block bigint, counts binary")
     out = blocks.repartition("block").sortWithinPartitions("block").mapInArrow(add, "block bigint, bits binary")
-    bits = np.zeros(BUCKETS // 8, np.uint8)
+    bits = np.zeros(buckets // 8, np.uint8)
     for row in out.collect():
         bits[row["block"] // 8:(row["block"] + BLOCK) // 8] = np.frombuffer(row["bits"], np.uint8)
     return bits
 
 
-def observed(codes: DataFrame, shared, bits, words: int) -> DataFrame:
-    """(window) of the windows in likely buckets: number of the shorter window * words + next word, with repeats between tasks."""
+def possible(codes: DataFrame, shared, bits, least: int, words: int, buckets: int) -> DataFrame:
+    """(window): number of the shorter window * words + next word, of the windows that occur ``least`` times or more.
+
+    Counts of windows in likely buckets, stopped at ``least`` in each task as above.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        likely, held = np.unpackbits(bits.value).astype(bool), np.empty(0, np.int64)
+        held, counts = np.empty(0, np.int64), np.empty(0, np.int64)
         for array in arrays_of(batches):
             number, word = windows_of(array, *shared.value)
             windows = number * words + word
-            held = np.union1d(held, windows[likely[bucket_of(windows)]])
+            at = bucket_of(windows, buckets)
+            windows, more = np.unique(windows[bits.value[at >> 3] >> (7 - (at & 7)) & 1 > 0], return_counts=True)
+            both, place = np.unique(np.concatenate([held, windows]), return_inverse=True)
+            held, counts = both, np.minimum(np.bincount(place, np.concatenate([counts, more]), len(both)), least).astype(np.int64)
             if len(held) > HELD:
-                yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64())], ["window"])
-                held = held[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64())], ["window"])
+                yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array(counts, pa.int32())], ["window", "f"])
+                held, counts = held[:0], counts[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array(counts, pa.int32())], ["window", "f"])
 
-    return codes.mapInArrow(run, "window bigint")
+    seen = codes.mapInArrow(run, "window bigint, f int").groupBy("window").agg(F.sum("f").alias("f"))
+    return seen.filter(F.col("f") >= least).select("window")
 
 
 def accepted(codes: DataFrame, shared, offset: int, size: int) -> DataFrame:
@@ -257,6 +266,9 @@ def phrases(docs: DataFrame, *, lang: str = "lang", text: str = "text", least: i
         level = staged(level.select("pos", "key", languages.alias("lang"), split(-1).alias("phrase"),
                                     F.array(F.col("pos").cast("int")).alias("codes"), "f"), "phrases")
         words = level.count()
+        total, buckets = totals.agg(F.sum("n")).first()[0] or 0, BLOCK
+        while buckets < MOST_BUCKETS and buckets * WORDS_A_BUCKET < total:
+            buckets *= 2
         codes = encode(rows, level, words, vocabulary) if words else None
     single, levels = level, [level]
     with ExitStack() as stack:
@@ -269,8 +281,8 @@ def phrases(docs: DataFrame, *, lang: str = "lang", text: str = "text", least: i
             found = []
             for trie, good, offset in tries:
                 shared = spark.sparkContext.broadcast((trie, good, offset, both))
-                bits = spark.sparkContext.broadcast(likely_buckets(codes, shared, least, words))
-                found.append(staged(observed(codes, shared, bits, words).distinct(), "windows"))
+                bits = spark.sparkContext.broadcast(likely_buckets(codes, shared, least, words, buckets))
+                found.append(staged(possible(codes, shared, bits, least, words, buckets), "windows"))
                 shared.unpersist()
                 bits.unpersist()
             pairs = reduce(DataFrame.union, found).select(F.expr(f"window div {words}").alias("pos"), (F.col("window") % words).alias("next"))
