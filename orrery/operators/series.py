@@ -154,7 +154,7 @@ def widen(long: DataFrame, metrics: list[str]) -> DataFrame:
     )
 
 
-def _slot(ts: Column, window_minutes: int) -> Column:
+def window_slot(ts: Column, window_minutes: int) -> Column:
     """Zone-free window index: minutes since 1970-01-01 divided by w."""
     minutes = (F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long") * 1440
                + F.hour(ts) * 60 + F.minute(ts))
@@ -169,7 +169,7 @@ def fill_gaps(windows: DataFrame, metrics: list[str], *, window_minutes: int,
     the next present one; missing windows carry NULL metrics, no events.
     """
     order = Window.partitionBy(*KEYS).orderBy("window_start")
-    slot = _slot(F.col("window_start"), window_minutes)
+    slot = window_slot(F.col("window_start"), window_minutes)
     gap = F.coalesce(F.lead(slot).over(order) - slot, F.lit(1))
     staged = windows.select("*", gap.alias("_gap"))
     guarded = F.when(F.col("_gap") > max_windows_per_series,
@@ -187,8 +187,9 @@ def fill_gaps(windows: DataFrame, metrics: list[str], *, window_minutes: int,
     return exploded.select(*cols)
 
 
-def series_features(grid: DataFrame, metrics: list[str], *, window_minutes: int, rolling_window_size: int) -> DataFrame:
-    """E1-E6, K4-K7 on the gap-filled grid (no z-scores)."""
+def series_features(grid: DataFrame, metrics: list[str], *, window_minutes: int, rolling_window_size: int,
+                    keep_values: bool = False) -> DataFrame:
+    """E1-E6, K4-K7 on the gap-filled grid (no z-scores); ``keep_values`` adds the unrounded values as ``_v_<metric>``."""
     order = Window.partitionBy(*KEYS).orderBy("window_start")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rolling = order.rowsBetween(-(rolling_window_size - 1), Window.currentRow)
@@ -224,7 +225,7 @@ def series_features(grid: DataFrame, metrics: list[str], *, window_minutes: int,
 
     # E5: consecutive windows with packet-drop ratio above the threshold;
     # the grid is contiguous, so the run length is slot - last non-burst slot
-    slot = _slot(F.col("window_start"), window_minutes)
+    slot = window_slot(F.col("window_start"), window_minutes)
     burst_flag = metric_or_zero("packet_drop_ratio") > F.lit(PACKET_DROP_BURST_THRESHOLD)
     last_break = F.max(F.when(~burst_flag, slot)).over(running)
     burst = F.when(burst_flag, slot - F.coalesce(last_break, F.min(slot).over(running) - 1)).otherwise(F.lit(0))
@@ -243,6 +244,7 @@ def series_features(grid: DataFrame, metrics: list[str], *, window_minutes: int,
         lead_of("latency_ms").alias("target_next_latency_ms"),
         lead_of("throughput_rps").alias("target_next_throughput_rps"),
         *per_metric,
+        *([f"_v_{m}" for m in metrics] if keep_values else []),
         burst.cast("int").alias("packet_drop_burst_count"),
     )
 

@@ -400,8 +400,6 @@ SELECT service_name, host_id, strftime(window_start, '%Y-%m-%dT%H:%M:%S') AS win
     return lines[0] + "\n  " + ",\n  ".join(cols) + "\nFROM rf"
 
 
-STREAM_DELAY_MINUTES = 10
-
 def _stream_series_sql() -> str:
     cols = ["event_count", "event_frequency", "is_anomaly"]
     cols += [f"{m}{x}" for m in METRICS for x in ("", "_was_imputed", "_roll_mean", "_roll_std", "_roll_min",
@@ -409,13 +407,8 @@ def _stream_series_sql() -> str:
     cols += ["request_error_ratio", "cpu_throughput_imbalance", "short_term_latency_drift", "packet_drop_burst_count"]
     sel = ", ".join(f"CAST(b.{c} AS BIGINT) AS {c}" if c in INT_COLUMNS else f"b.{c}" for c in cols)
     return f"""
-, fin AS (
-  SELECT service_name, host_id, max(window_start) AS last_ws FROM win
-  WHERE window_start + INTERVAL {W} MINUTE <= (SELECT max(tsu) FROM acc) - INTERVAL {STREAM_DELAY_MINUTES} MINUTE
-  GROUP BY service_name, host_id
-)
 SELECT b.service_name, b.host_id, strftime(b.window_start, '%Y-%m-%d %H:%M:%S') AS window_start, {sel}
-FROM base b JOIN fin ON b.service_name = fin.service_name AND b.host_id = fin.host_id AND b.window_start <= fin.last_ws"""
+FROM base b"""
 
 
 SQL: dict[str, str] = {
@@ -430,8 +423,7 @@ SQL: dict[str, str] = {
     "q_stream_windows": _with(
         f"SELECT {KEYS}, event_count, CAST(is_anomaly AS BIGINT) AS is_anomaly, "
         + ", ".join(f"round(mean_{m}, 6) AS {m}" for m in METRICS)
-        + f" FROM win WHERE window_start + INTERVAL {W} MINUTE <= "
-          f"(SELECT max(tsu) FROM acc) - INTERVAL {STREAM_DELAY_MINUTES} MINUTE"),
+        + " FROM win"),
     "q_adapter_raw": _with("SELECT * FROM raw"),
     "q_validate_accept": _with(
         "SELECT source_file, row_number, ts_text AS timestamp, service_name, host_id, metric_name, value0 AS metric_value, "

@@ -1,7 +1,6 @@
-"""Structured Streaming forms of ingestion, de-duplication, windows and scoring."""
+"""Structured Streaming forms of ingestion, de-duplication, windows, series features and scoring."""
 
-from .stream import (dedup_stream, events_stream, ingest_stream, raw_stream, run_available_now, score_stream,
-                     window_stream)
+from .store import Store, run_store
+from .stream import events_stream, ingest_stream, raw_stream, run_available_now, score_stream
 
-__all__ = ["dedup_stream", "events_stream", "ingest_stream", "raw_stream", "run_available_now", "score_stream",
-           "window_stream"]
+__all__ = ["Store", "events_stream", "ingest_stream", "raw_stream", "run_available_now", "run_store", "score_stream"]
