@@ -28,6 +28,7 @@ REGISTERS, BANDS, ROWS = 128, 50, 8  # a pair at 0.9 misses all bands with proba
 FINE_REGISTERS = 1024  # registers of the sketches with which documents of open buckets are compared
 PAIRS = 0x5555555555555555
 FIRST_BANDS = 5  # bands whose buckets are compared first: most documents that belong together meet there
+FEW_SHINGLES = 40  # distinct shingles below which a sketch is not trusted
 BATCH_ROWS = 1000  # rows that Python holds at once: whole texts, or two shingle sets each
 SLICE_CHARS = 1 << 18  # characters whose shingles are made together, one text at least
 PIVOTS = 256  # documents of a bucket that become pivots in one round
@@ -116,12 +117,21 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float(total)
 
 
-def sketch_of(sig: np.ndarray) -> pa.ListArray:
-    """Two bits of every register of each signature, 32 registers in a bigint."""
+def sketch_of(sig: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    """Two bits of every register of each signature, 32 registers in a bigint; null for texts of few distinct shingles.
+
+    Registers that fall on the same few shingles do not differ independently,
+    so such sketches say too little; their pairs are all verified.
+    """
     two = mix64(sig)[:, :, None] >> np.array([0, 1], np.uint64) & np.uint64(1)
     bits = np.packbits(two.reshape(len(sig), -1).astype(np.uint8), axis=1).view(np.int64)
     ends = np.arange(0, bits.size + 1, bits.shape[1])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bits.reshape(-1)))
+    whole = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bits.reshape(-1)))
+    return whole.take(pa.array(np.arange(len(sig)), mask=sizes < FEW_SHINGLES))
+
+
+def sizes_of(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    return np.array([len(h) for h, _ in sets], np.int64)
 
 
 def far(registers: int, similar: float) -> int:
@@ -157,7 +167,7 @@ def band_table(texts: DataFrame, *, bands: int = BANDS, rows: int = ROWS, words:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(has) * bands + 1, bands), pa.int32()),
                                                  pa.array(key.reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(has + i)), lists, sketch_of(sig)], ["id", "bands", "sketch"])
+                    [batch.column(0).take(pa.array(has + i)), lists, sketch_of(sig, sizes_of(sets)[has])], ["id", "bands", "sketch"])
 
     return texts.select("id", "text").mapInArrow(run, "id bigint, bands array<bigint>, sketch array<bigint>")
 
@@ -173,7 +183,7 @@ def fine_sketches(texts: DataFrame, *, words: int = WORDS) -> DataFrame:
                 sets = shingler.of(body[i:j])
                 has = np.flatnonzero([len(h) > 0 for h, _ in sets])
                 if len(has):
-                    sketch = sketch_of(signatures([sets[k] for k in has], FINE_REGISTERS))
+                    sketch = sketch_of(signatures([sets[k] for k in has], FINE_REGISTERS), sizes_of(sets)[has])
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(has + i)), sketch], ["id", "sketch"])
 
     return texts.select("id", "text").mapInArrow(run, "id bigint, sketch array<bigint>")
