@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm.common import staged, table
+from orrery.llm.common import arrow_batches, staged, table
 from orrery.llm.language_id import UNDETERMINED, fit, predict_column, training_rows
 from orrery.llm.minhash import near_duplicates
 from orrery.llm.mixing import mix
@@ -22,33 +22,65 @@ from orrery.llm.queries import quality_model, tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_LANGUAGE_SCORE = 0.4  # pooled probability below which no language is accepted
+TEXTS_AT_ONCE = 1000  # texts that a Python worker holds at once
 LEAST_TAIL = 0.5  # of P(grade >= 2): good and not toxic
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is determined: they have a letter, and one label holds enough of the probability."""
+    """Documents whose language is determined: they have a letter, and one label holds enough of the probability.
+
+    Null, empty and letterless texts go; long texts are read whole; null keys,
+    sources and labels are no reason to go; repeated rows are judged alike;
+    a tie between labels goes to the first in code point order; other columns
+    are dropped; an empty table gives an empty result.
+    """
     net = fit(docs.filter(training_rows(F.col("doc_id"), F.col("lang"))))
     scored = docs.withColumn("_p", predict_column(net, F.col("text")))
     keep = (F.col("_p.lang") != UNDETERMINED) & (F.col("_p.score") >= LEAST_LANGUAGE_SCORE)
-    return scored.filter(keep).select(*COLUMNS)
+    with arrow_batches(spark, TEXTS_AT_ONCE):
+        return staged(scored.filter(keep).select(*COLUMNS), "language")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are good and not toxic (grade 2) more likely than not."""
+    """Documents that are good and not toxic (grade 2) more likely than not.
+
+    Where no document has a usable label nothing can be learned and all rows
+    stay.  Null, empty and wordless texts have no feature and fare as the
+    labelled rows do on average; long texts are read whole; null keys and
+    repeated rows are judged by their text; other columns are dropped; an
+    empty table gives an empty result.
+    """
+    labels = table(spark, sf_dir, "labels").filter("quality in (0, 1)").select("doc_id")
+    if docs.select("doc_id").join(labels, "doc_id", "left_semi").isEmpty():
+        return docs.select(*COLUMNS)
     model = quality_model(spark, docs, sf_dir)
     scored = docs.withColumn("_s", score_column(model, F.col("text")))
-    return scored.filter(F.col("_s.tails")[1] >= LEAST_TAIL).select(*COLUMNS)
+    with arrow_batches(spark, TEXTS_AT_ONCE):
+        return staged(scored.filter(F.col("_s.tails")[1] >= LEAST_TAIL).select(*COLUMNS), "quality")
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, that with the smallest doc_id; documents without doc_id stay."""
-    keep = near_duplicates(docs).filter(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    named = docs.select(*COLUMNS).join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter(F.col("doc_id").isNull()).select(*COLUMNS))
+    """One row of each near-duplicate class: that with the smallest doc_id, one without doc_id if none has any.
+
+    Rows are compared as rows: a repeated doc_id with unlike texts keeps each
+    of them, equal rows keep one.  Rows without a word (null, empty, white
+    space) are like no other and stay; long texts are read whole; other
+    columns are dropped; an empty table gives an empty result.
+    """
+    rows = staged(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "duplicate-rows")
+    classes = near_duplicates(rows, key="_row").select("_row", "class_id")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    keep = rows.select("_row", "doc_id").join(classes, "_row").groupBy("class_id").agg(F.min_by("_row", first).alias("_row"))
+    return rows.join(keep.select("_row"), "_row", "left_semi").select(*COLUMNS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: whole epochs of its source, and once more if it is sampled."""
+    """Each document as often as the mix takes it: whole epochs of its source, and once more if it is sampled.
+
+    A null source is a source; rows without a word take no part; repeated
+    rows and null keys are rows of their own; other columns are dropped; an
+    empty table gives an empty result.
+    """
     # the ids are stored: computed again, they would name other rows if the scan is cut otherwise
     rows = staged(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "mix-rows")
     copies = staged(mix(rows, carry=("_row",)).filter("taken > 0").select("_row", F.expr("int(taken div size)").alias("_copies")), "mix")
@@ -57,7 +89,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixed documents as pieces of 2048-token sequences (columns of query op2)."""
+    """The mixed documents as pieces of 2048-token sequences (columns of query op2).
+
+    Null and empty texts have the end id alone; long texts are cut; repeated
+    rows and null keys are packed each; an empty table gives an empty result.
+    """
     return pack(docs, tokenizer_path(), payload={"ids_crc32": F.crc32("ids")})
 
 
