@@ -446,3 +446,22 @@ def test_short_texts_at_the_threshold_are_linked(spark):
     got = {r.doc_id: r.class_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     # what may be lost is lost by the bands (8 registers, 50 bands): about 0.002 of such pairs
     assert sum(got[2 * i] == got[2 * i + 1] for i in range(300)) >= 297
+
+
+def test_stages_on_awkward_rows(spark, awkward):
+    import corpus_pipeline as pipeline
+
+    prose = "the quick brown fox jumps over the lazy dog again and again until it is tired of all that jumping around here"
+    rows = [(7, "c " + prose, "en", "s", 1), (7, "something entirely different that is like no other text in this table", "en", "s", 1),
+            (5, prose + " one", "en", "s", 1), (3, prose + " one", "en", "s", 1), (None, prose + " one", None, None, None),
+            (None, "a lone text without a key that nothing else resembles", "en", "s", 1), (8, None, "en", "s", 1), (9, "", None, "s", 1),
+            (11, "twice the same row", "en", "s", 1), (11, "twice the same row", "en", "s", 1)]
+    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+                                                                 "class_id string, kept string").repartition(2)
+    kept = pipeline.duplicate_stage(spark, docs, SF)
+    assert kept.columns == list(pipeline.COLUMNS)
+    assert sorted((str(r.doc_id), (r.text or "")[:5]) for r in kept.collect()) == sorted(
+        [("7", "somet"), ("3", "the q"), ("None", "a lon"), ("8", ""), ("9", ""), ("11", "twice")])
+    # no row of these has a label: nothing is learned, nothing goes
+    unlabelled = docs.withColumn("doc_id", -F.col("doc_id") - 1)
+    assert pipeline.quality_stage(spark, unlabelled, SF).count() == len(rows)
