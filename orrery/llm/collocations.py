@@ -12,7 +12,7 @@ what cannot be frequent.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import ExitStack
 from functools import reduce
 
@@ -167,13 +167,39 @@ def bucket_of(windows: np.ndarray, buckets: int) -> np.ndarray:
     return ((windows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - buckets.bit_length())).astype(np.int64)
 
 
+def blocks_of(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A task's counts as rows (block, counts) of BLOCK counts each, without blocks that are all zero."""
+    for block in range(0, len(counts), BLOCK):
+        some = counts[block:block + BLOCK]
+        if some.any():
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([some.tobytes()], pa.binary())], ["block", "counts"])
+
+
+def summed(blocks: DataFrame, kind: type, finish: Callable[[int, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
+    """Sums of the tasks' blocks: they are dealt by block and added up one row at a time; ``finish`` turns a sum into rows."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, total = None, np.empty(0, np.int64)
+        for batch in batches:
+            for own, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                more = np.frombuffer(counts, kind)
+                if own != block:
+                    if block is not None:
+                        yield finish(block, total)
+                    block, total = own, np.zeros(len(more), np.int64)
+                total += more
+        if block is not None:
+            yield finish(block, total)
+
+    return blocks.repartition("block").sortWithinPartitions("block").mapInArrow(add, schema)
+
+
 def likely_buckets(codes: DataFrame, shared, least: int, words: int, buckets: int) -> np.ndarray:
     """Bits of the buckets whose windows occur ``least`` times or more in all.
 
     A task's count stops at ``least``: a sum of stopped counts reaches it
-    exactly when the sum of the true ones does.  Tasks give blocks of
-    buckets; blocks are dealt over the tasks that add them up one row at a
-    time, and a bit for each bucket comes to the driver.
+    exactly when the sum of the true ones does.  A bit for each bucket comes
+    to the driver.
     """
     kind = np.uint8 if least < 256 else np.uint32
 
@@ -183,30 +209,13 @@ def likely_buckets(codes: DataFrame, shared, least: int, words: int, buckets: in
             number, word = windows_of(array, *shared.value)
             at, more = np.unique(bucket_of(number * words + word, buckets), return_counts=True)
             own[at] = np.minimum(own[at] + more, least)
-        for block in range(0, buckets, BLOCK):
-            some = own[block:block + BLOCK]
-            if some.any():
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([some.tobytes()], pa.binary())], ["block", "counts"])
+        yield from blocks_of(own)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, total = None, None
-
-        def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([np.packbits(total >= least).tobytes()], pa.binary())],
-                                              ["block", "bits"])
+    def finish(block: int, total: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([np.packbits(total >= least).tobytes()], pa.binary())],
+                                          ["block", "bits"])
 
-        for batch in batches:
-            for own, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if own != block:
-                    if block is not None:
-                        yield done()
-                    block, total = own, np.zeros(BLOCK, np.int64)
-                total += np.frombuffer(counts, kind)
-        if block is not None:
-            yield done()
-
-    blocks = codes.mapInArrow(count, "block bigint, counts binary")
-    out = blocks.repartition("block").sortWithinPartitions("block").mapInArrow(add, "block bigint, bits binary")
+    out = summed(codes.mapInArrow(count, "block bigint, counts binary"), kind, finish, "block bigint, bits binary")
     bits = np.zeros(buckets // 8, np.uint8)
     for row in out.collect():
         bits[row["block"] // 8:(row["block"] + BLOCK) // 8] = np.frombuffer(row["bits"], np.uint8)
@@ -237,17 +246,20 @@ def possible(codes: DataFrame, shared, bits, least: int, words: int, buckets: in
     return seen.filter(F.col("f") >= least).select("window")
 
 
-def accepted(codes: DataFrame, shared, offset: int, size: int) -> DataFrame:
-    """(pos, f): how often each candidate of a trie occurs."""
+def accepted(codes: DataFrame, shared, offset: int, size: int, least: int) -> DataFrame:
+    """(pos, f): how often each candidate of a trie occurs, if ``least`` times or more."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, counts = shared.value, np.zeros(size, np.int64)
         for array in arrays_of(batches):
             counts += np.bincount(trie.walk(array)[1], minlength=size)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at + offset, pa.int64()), pa.array(counts[at], pa.int64())], ["pos", "f"])
+        yield from blocks_of(counts)
+
+    def finish(block: int, total: np.ndarray) -> pa.RecordBatch:
+        at = np.flatnonzero(total >= least)
+        return pa.RecordBatch.from_arrays([pa.array(at + block + offset, pa.int64()), pa.array(total[at], pa.int64())], ["pos", "f"])
 
-    return codes.mapInArrow(run, "pos bigint, f bigint").groupBy("pos").agg(F.sum("f").alias("f"))
+    return summed(codes.mapInArrow(count, "block bigint, counts binary"), np.int64, finish, "pos bigint, f bigint")
 
 
 def phrases(docs: DataFrame, *, lang: str = "lang", text: str = "text", least: int = LEAST, longest: int = LONGEST,
@@ -301,7 +313,7 @@ def phrases(docs: DataFrame, *, lang: str = "lang", text: str = "text", least: i
                 own = some.select("pos", *(F.col("codes")[i].alias(f"w{i}") for i in range(depth))).toArrow()
                 trie = Trie(np.stack([own[f"w{i}"].to_numpy() for i in range(depth)], axis=1), own["pos"].to_numpy() - offset)
                 shared = spark.sparkContext.broadcast(trie)
-                sums = staged(accepted(codes, shared, offset, min(most, size - offset)).filter(F.col("f") >= least), "counts")
+                sums = staged(accepted(codes, shared, offset, min(most, size - offset), least), "counts")
                 shared.unpersist()
                 good = np.zeros(min(most, size - offset), bool)
                 good[sums.select("pos").toArrow()["pos"].to_numpy() - offset] = True
