@@ -161,17 +161,49 @@ def window_slot(ts: Column, window_minutes: int) -> Column:
     return F.floor(minutes / F.lit(window_minutes)).cast("long")
 
 
+def block_of(window_minutes: int, block_windows: int) -> Column:
+    """Number of the time block of ``block_windows`` slots that a window lies in."""
+    return F.floor(window_slot(F.col("window_start"), window_minutes) / F.lit(block_windows)).cast("long")
+
+
+def across_blocks(blocks: DataFrame, **carried: Column) -> DataFrame:
+    """(service, host, _block, carried...) of one row per block: window expressions over the blocks of a series.
+
+    The only step that sees a series as a whole; it has one row per
+    ``block_windows`` windows.
+    """
+    return blocks.select(*KEYS, "_block", *[c.alias(name) for name, c in carried.items()])
+
+
+def blocks_in_order():
+    return Window.partitionBy(*KEYS).orderBy("_block")
+
+
+def blocks_before():
+    return blocks_in_order().rowsBetween(Window.unboundedPreceding, -1)
+
+
 def fill_gaps(windows: DataFrame, metrics: list[str], *, window_minutes: int,
-              max_windows_per_series: int = DEFAULT_MAX_WINDOWS_PER_SERIES) -> DataFrame:
+              max_windows_per_series: int = DEFAULT_MAX_WINDOWS_PER_SERIES, block_windows: int | None = None) -> DataFrame:
     """D4 + C3: every window between a series' first and last present window.
 
     Each present window explodes into itself plus the missing windows up to
     the next present one; missing windows carry NULL metrics, no events.
+    With ``block_windows`` a series is cut into time blocks, and only the
+    first slot of each block goes to the one before it.
     """
-    order = Window.partitionBy(*KEYS).orderBy("window_start")
     slot = window_slot(F.col("window_start"), window_minutes)
-    gap = F.coalesce(F.lead(slot).over(order) - slot, F.lit(1))
-    staged = windows.select("*", gap.alias("_gap"))
+    if block_windows is None:
+        order = Window.partitionBy(*KEYS).orderBy("window_start")
+        gap = F.coalesce(F.lead(slot).over(order) - slot, F.lit(1))
+        staged = windows.select("*", gap.alias("_gap"))
+    else:
+        windows = windows.withColumn("_block", block_of(window_minutes, block_windows))
+        order = Window.partitionBy(*KEYS, "_block").orderBy("window_start")
+        firsts = windows.groupBy(*KEYS, "_block").agg(F.min(slot).alias("_first"))
+        after = across_blocks(firsts, _after=F.lead("_first").over(blocks_in_order()))
+        gap = F.coalesce(F.coalesce(F.lead(slot).over(order), F.col("_after")) - slot, F.lit(1))
+        staged = windows.join(after, [*KEYS, "_block"]).withColumn("_gap", gap).drop("_block", "_after")
     guarded = F.when(F.col("_gap") > max_windows_per_series,
                      F.raise_error(F.lit(f"series grid exceeds {max_windows_per_series} windows"))).otherwise(F.col("_gap"))
     exploded = staged.select("*", F.explode(F.sequence(F.lit(0).cast("long"), guarded.cast("long") - 1)).alias("_k"))
@@ -188,16 +220,35 @@ def fill_gaps(windows: DataFrame, metrics: list[str], *, window_minutes: int,
 
 
 def series_features(grid: DataFrame, metrics: list[str], *, window_minutes: int, rolling_window_size: int,
-                    keep_values: bool = False) -> DataFrame:
-    """E1-E6, K4-K7 on the gap-filled grid (no z-scores); ``keep_values`` adds the unrounded values as ``_v_<metric>``."""
-    order = Window.partitionBy(*KEYS).orderBy("window_start")
+                    keep_values: bool = False, block_windows: int | None = None) -> DataFrame:
+    """E1-E6, K4-K7 on the gap-filled grid (no z-scores); ``keep_values`` adds the unrounded values as ``_v_<metric>``.
+
+    With ``block_windows`` no task sees more than so many windows of a series
+    (and the rolling frame): a segmented scan.  Each time block is summed up
+    (last value of each metric, last window without a burst), the summaries
+    are combined along the series, and what comes before a block is joined to
+    its rows; the rows of the frame at a block's end, and its first row, are
+    copied to the neighbouring block.
+    """
+    keys = KEYS if block_windows is None else (*KEYS, "_block")
+    order = Window.partitionBy(*keys).orderBy("window_start")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rolling = order.rowsBetween(-(rolling_window_size - 1), Window.currentRow)
+    slot = window_slot(F.col("window_start"), window_minutes)
+    if block_windows is not None:
+        if block_windows < rolling_window_size:
+            raise ValueError("a block must hold a rolling frame")
+        grid = grid.withColumn("_block", block_of(window_minutes, block_windows))
+        last = grid.groupBy(*keys).agg(*[F.max_by(f"_mean_{m}", F.when(F.col(f"_mean_{m}").isNotNull(), slot)).alias(f"_mean_{m}") for m in metrics],
+                                       F.min(slot).alias("_first"))
+        grid = grid.join(across_blocks(last, _start=F.min("_first").over(Window.partitionBy(*KEYS)), **{
+            f"_before_{m}": F.last(f"_mean_{m}", ignorenulls=True).over(blocks_before()) for m in metrics}), list(keys))
 
     # Last observation carried forward (unrounded), else the default
     locf = grid.select(
-        *KEYS, "window_start", "event_count", "is_anomaly", "event_summaries",
+        *keys, "window_start", "event_count", "is_anomaly", "event_summaries", *(["_start"] if block_windows else []),
         *[F.coalesce(F.col(f"_mean_{m}"), F.last(f"_mean_{m}", ignorenulls=True).over(running),
+                     *([F.col(f"_before_{m}")] if block_windows else []),
                      F.lit(float(METRIC_DEFAULTS.get(m, 0.0)))).alias(f"_v_{m}") for m in metrics],
         *[F.col(f"_mean_{m}").isNull().cast("int").alias(f"{m}_was_imputed") for m in metrics],
     )
@@ -225,15 +276,31 @@ def series_features(grid: DataFrame, metrics: list[str], *, window_minutes: int,
 
     # E5: consecutive windows with packet-drop ratio above the threshold;
     # the grid is contiguous, so the run length is slot - last non-burst slot
-    slot = window_slot(F.col("window_start"), window_minutes)
     burst_flag = metric_or_zero("packet_drop_ratio") > F.lit(PACKET_DROP_BURST_THRESHOLD)
     last_break = F.max(F.when(~burst_flag, slot)).over(running)
-    burst = F.when(burst_flag, slot - F.coalesce(last_break, F.min(slot).over(running) - 1)).otherwise(F.lit(0))
+    if block_windows is None:
+        break_before = F.min(slot).over(running) - 1
+    else:
+        from ..session import materialize
+
+        locf = materialize(locf, "locf")  # read for the breaks and for the features
+        breaks = locf.groupBy(*keys).agg(F.max(F.when(~burst_flag, slot)).alias("_break"))
+        locf = locf.join(across_blocks(breaks, _break=F.max("_break").over(blocks_before())), list(keys))
+        break_before = F.coalesce(F.col("_break"), F.col("_start") - 1)
+        place = F.pmod(slot, F.lit(block_windows))
+        near = F.array(F.struct(F.col("_block").alias("_block"), F.lit(True).alias("_own")),
+                       F.when(place >= block_windows - (rolling_window_size - 1), F.struct((F.col("_block") + 1).alias("_block"), F.lit(False).alias("_own"))),
+                       F.when(place == 0, F.struct((F.col("_block") - 1).alias("_block"), F.lit(False).alias("_own"))))
+        locf = locf.withColumn("_near", F.explode(F.filter(near, lambda x: x.isNotNull()))).drop("_block").select("*", "_near.*").drop("_near")
+        # copies must not end a burst of the block that they are copied to
+        last_break = F.max(F.when(~burst_flag & F.col("_own"), slot)).over(running)
+    burst = F.when(burst_flag, slot - F.coalesce(last_break, break_before)).otherwise(F.lit(0))
 
     def lead_of(m: str) -> Column:
         return F.lead(r6(F.col(f"_v_{m}"))).over(order) if m in metrics else F.lit(None).cast("double")
 
     stage = locf.select(
+        *([] if block_windows is None else ["_own"]),
         "window_start",
         F.lit(window_minutes).alias("window_minutes"),
         *KEYS,
@@ -259,6 +326,8 @@ def series_features(grid: DataFrame, metrics: list[str], *, window_minutes: int,
     lat = col_or_zero("latency_ms", "latency_ms" in metrics)
     lat_mean = col_or_zero("latency_ms_roll_mean", "latency_ms" in metrics)
     ratio = F.when(err != 0, err).otherwise(F.when(thr != 0, fail / thr).otherwise(F.lit(0.0)))
+    if block_windows is not None:
+        stage = stage.where("_own").drop("_own")
     head = [c for c in stage.columns if c != "packet_drop_burst_count"]
     return stage.select(
         *head,
@@ -289,8 +358,8 @@ def add_zscores(features: DataFrame, metrics: list[str]) -> DataFrame:
 def window_features(cleaned: DataFrame, *, metrics: list[str] | None = None, window_minutes: int = 1,
                     rolling_window_size: int = 3,
                     max_windows_per_series: int = DEFAULT_MAX_WINDOWS_PER_SERIES,
-                    materialize: bool = True) -> DataFrame:
-    """Full S5 feature table from cleaned rows."""
+                    materialize: bool = True, block_windows: int | None = None) -> DataFrame:
+    """Full S5 feature table from cleaned rows; ``block_windows`` cuts long series into time blocks (a day of minutes: 1440)."""
     check_window_minutes(window_minutes, rolling_window_size)
     if metrics is None:
         # D3 needs the observed metric names before the wide plan: aggregate
@@ -306,8 +375,10 @@ def window_features(cleaned: DataFrame, *, metrics: list[str] | None = None, win
     else:
         windows = resample(cleaned, sorted(metrics))
         metrics = sorted(metrics)
-    grid = fill_gaps(windows, metrics, window_minutes=window_minutes, max_windows_per_series=max_windows_per_series)
-    base = series_features(grid, metrics, window_minutes=window_minutes, rolling_window_size=rolling_window_size)
+    grid = fill_gaps(windows, metrics, window_minutes=window_minutes, max_windows_per_series=max_windows_per_series,
+                     block_windows=block_windows)
+    base = series_features(grid, metrics, window_minutes=window_minutes, rolling_window_size=rolling_window_size,
+                           block_windows=block_windows)
     if materialize:
         # the z-score statistics and the output both read the windowed table:
         # write it once (shared checkpoint folder) instead of computing it twice
