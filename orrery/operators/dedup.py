@@ -69,10 +69,10 @@ def first_wins(validated: DataFrame, existing: DataFrame | None = None) -> DataF
     return firsts.select("record_fingerprint", "_row.*")
 
 
-def source_report(flagged: DataFrame) -> DataFrame:
-    """Per source: rows seen, rows written, duplicates, issue count (issues, not rows), rejected rows."""
+def source_report(flagged: DataFrame, keys: tuple[str, ...] = ("source_file",)) -> DataFrame:
+    """Per source (``keys``: files of one name differ in ``source_ordinal``): rows seen, rows written, duplicates, issue count (issues, not rows), rejected rows."""
     ok = F.size("issues") == 0
-    return flagged.groupBy("source_file").agg(
+    return flagged.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_rows_seen"),
         F.sum(F.col("is_written").cast("long")).alias("rows_written"),
         F.sum((ok & ~F.col("is_written")).cast("long")).alias("duplicate_rows"),

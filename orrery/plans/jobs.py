@@ -4,11 +4,12 @@ Each job reads and writes tables under an output root; stages hand over
 through written tables, which also cut lineage (a lost executor only
 recomputes from the last written table).  Layout::
 
-    <out>/bronze/run_id=...            raw records of the run, untyped (A9)
-    <out>/curated/event_date=...       accepted, de-duplicated records (A10)
-    <out>/validation_issues/run_id=... one row per issue (B8)
-    <out>/ingest_reports/run_id=...    one row per source (A12, D6, B10)
-    <out>/ingest_manifest              checksum of every ingested file (A15)
+    <out>/bronze/run=...               raw records of the run, untyped (A9)
+    <out>/quarantine/run=...           lines that could not be read, with their place (A3)
+    <out>/curated/run=.../event_date=  accepted, de-duplicated records (A10)
+    <out>/validation_issues/run=...    one row per issue (B8)
+    <out>/ingest_reports/run=...       one row per source path (A12, D6, B10)
+    <out>/ingest_manifest/run=...      checksum of every ingested file, the run's commit record (A15)
     <out>/cleaned, <out>/features      preprocessing output (A11)
     <out>/models/<name>, <out>/model_registry     trained models (A13, M10)
     <out>/evaluation/<table>           evaluation tables (V1-V8)
@@ -17,6 +18,9 @@ recomputes from the last written table).  Layout::
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,61 +45,79 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 # --- ingest ------------------------------------------------------------------
 
+COUNTS = ("total_rows_seen", "rows_written", "duplicate_rows", "validation_errors", "rejected_rows")
+
+
+def _part(run_id: str) -> str:
+    """Folder of a run within a table; hashed, so that no id is read back as a number or a date."""
+    return "run=r" + hashlib.sha256(run_id.encode()).hexdigest()[:24]
+
+
+def _write_part(df: DataFrame, table: str, run_id: str, by: str | None = None) -> DataFrame:
+    """Replace the run's part of a table; returns the part as written."""
+    path = f"{table}/{_part(run_id)}"
+    writer = df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    return df.sparkSession.read.schema(df.schema.add("run_id", "string")).parquet(path)
+
+
+def _other_runs(spark: SparkSession, table: str, run_id: str) -> DataFrame | None:
+    """What other runs wrote; None if the table is not there."""
+    return spark.read.parquet(table).where(F.col("run_id") != run_id).drop("run") if _exists(spark, table) else None
+
+
 def ingest_job(spark: SparkSession, inputs: list[str], out: str, *, run_id: str,
                sql_table: str = "telemetry") -> DataFrame:
-    """Ingest files once each (checksum manifest), validate, de-duplicate, append to curated."""
+    """Ingest files once each (checksum manifest), validate, de-duplicate, add to curated.
+
+    Every table has a part for each run, which the run replaces; it reads
+    the parts of other runs only.  A run that is started again, after a crash
+    or not, therefore leaves what one run leaves.  The manifest part is the
+    commit record and is written last.  Of inputs with equal content the
+    first is ingested.  Lines that cannot be read are kept with their place
+    under ``quarantine`` and count as rejected rows.
+    """
     if not inputs:
         raise ValueError("At least one input source is required")
+    inputs = list(dict.fromkeys(inputs))
     sums = file_checksums(spark, inputs)
-    manifest_path = f"{out}/ingest_manifest"
-    if _exists(spark, manifest_path):
-        seen = sums.join(spark.read.parquet(manifest_path).select("checksum"), "checksum", "left_semi")
-        skipped_paths = {r["path"] for r in seen.select("path").collect()}  # bounded by the input list
-    else:
-        skipped_paths = set()
-    fresh = [p for p in inputs if p not in skipped_paths]
-    reports = []
+    manifest = _other_runs(spark, f"{out}/ingest_manifest", run_id)
+    known = set()
+    if manifest is not None:
+        known = {r["checksum"] for r in sums.join(manifest.select("checksum"), "checksum", "left_semi").select("checksum").collect()}
+    fresh, skipped = {}, {}
+    for r in sorted(sums.collect(), key=lambda r: r["source_ordinal"]):  # one row per input file
+        again = r["checksum"] in known or r["checksum"] in fresh.values()
+        (skipped if again else fresh)[r["path"]] = r["checksum"]
+    rows = [(p, os.path.basename(p.rstrip("/")), i, c, STATUS_INGESTED) for i, (p, c) in enumerate(fresh.items())]
+    rows += [(p, os.path.basename(p.rstrip("/")), len(fresh) + i, c, STATUS_SKIPPED) for i, (p, c) in enumerate(skipped.items())]
+    sources = spark.createDataFrame(rows, "path string, source_file string, source_ordinal int, checksum string, status string")
+    none = F.create_map().cast("map<string,double>")
     if fresh:
-        raw = read_telemetry(spark, fresh, sql_table=sql_table)
-        raw.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(f"{out}/bronze")
-        bronze = spark.read.parquet(f"{out}/bronze").where(F.col("run_id") == run_id).drop("run_id")
+        raw = read_telemetry(spark, list(fresh), sql_table=sql_table)
+        bronze = _write_part(raw, f"{out}/bronze", run_id).drop("run_id")
+        unreadable = bronze.where(F.col("corrupt_record").isNotNull()).select("source_file", "source_ordinal", "row_number", "corrupt_record")
+        _write_part(unreadable, f"{out}/quarantine", run_id)
         validated = validate(bronze)
-        curated_path = f"{out}/curated"
-        existing = None
-        if _exists(spark, curated_path):
-            existing = prune_existing(spark.read.parquet(curated_path), validated)
-        staged_path = f"{out}/_staging/run_id={run_id}"
-        flag_first_wins(validated, existing).write.mode("overwrite").parquet(staged_path)
-        staged = spark.read.parquet(staged_path)
-        (staged.where("is_written").select(*CURATED_COLUMNS, "ts", F.to_date("ts").alias("event_date"))
-         .write.mode("append").partitionBy("event_date").parquet(curated_path))
-        (validation_issues(staged).withColumn("run_id", F.lit(run_id))
-         .write.mode("append").partitionBy("run_id").parquet(f"{out}/validation_issues"))
-        spikes = null_spikes(bronze).groupBy("source_file").agg(
+        existing = _other_runs(spark, f"{out}/curated", run_id)
+        if existing is not None:
+            existing = prune_existing(existing, validated.where(F.size("issues") == 0))
+        flagged = _write_part(flag_first_wins(validated, existing), f"{out}/_staging", run_id).drop("run_id")
+        _write_part(flagged.where("is_written").select(*CURATED_COLUMNS, "ts", F.to_date("ts").alias("event_date")),
+                    f"{out}/curated", run_id, "event_date")
+        _write_part(validation_issues(flagged), f"{out}/validation_issues", run_id)
+        spikes = null_spikes(bronze, by=("source_ordinal",)).groupBy("source_ordinal").agg(
             F.map_from_entries(F.collect_list(F.struct("field", "ratio"))).alias("null_spikes"))
-        counts = source_report(staged).join(spikes, "source_file", "left")
-        reports.append(counts.select("source_file", F.lit(STATUS_INGESTED).alias("status"), "total_rows_seen",
-                                     "rows_written", "duplicate_rows", "validation_errors", "rejected_rows",
-                                     F.coalesce("null_spikes", F.create_map().cast("map<string,double>"))
-                                     .alias("null_spikes")))
-    with_sum = sums.withColumn("source_file", F.element_at(F.split("path", "/"), -1))
-    if skipped_paths:
-        skipped = with_sum.where(F.col("path").isin(*skipped_paths)).select(
-            "source_file", F.lit(STATUS_SKIPPED).alias("status"), *[F.lit(0).cast("long").alias(c) for c in (
-                "total_rows_seen", "rows_written", "duplicate_rows", "validation_errors", "rejected_rows")],
-            F.create_map().cast("map<string,double>").alias("null_spikes"))
-        reports.append(skipped)
-    report = reports[0]
-    for r in reports[1:]:
-        report = report.unionByName(r)
-    report = report.join(with_sum.select("source_file", "checksum"), "source_file", "left").withColumn(
-        "run_id", F.lit(run_id))
-    report.write.mode("append").partitionBy("run_id").parquet(f"{out}/ingest_reports")
-    if fresh:
-        # manifest last: a crash before this point re-reads the files, fingerprints keep curated exact
-        (with_sum.where(F.col("path").isin(*fresh)).select("checksum", "source_file", "path", F.lit(run_id).alias("run_id"))
-         .write.mode("append").parquet(manifest_path))
-    return spark.read.parquet(f"{out}/ingest_reports").where(F.col("run_id") == run_id)
+        counts = source_report(flagged, ("source_ordinal",)).join(spikes, "source_ordinal", "left")
+        report = sources.join(counts, "source_ordinal", "left")
+    else:
+        report = sources.withColumns({c: F.lit(0).cast("long") for c in COUNTS}).withColumn("null_spikes", none)
+    report = report.select("source_file", "path", "status", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in COUNTS],
+                           F.coalesce("null_spikes", none).alias("null_spikes"), "checksum")
+    report = _write_part(report, f"{out}/ingest_reports", run_id)
+    # the commit record: a crash before this point leaves the files to be read again
+    _write_part(sources.where(F.col("status") == STATUS_INGESTED).select("checksum", "source_file", "path"), f"{out}/ingest_manifest", run_id)
+    return report
 
 
 # --- features ----------------------------------------------------------------

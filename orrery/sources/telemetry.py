@@ -1,7 +1,7 @@
 """Raw telemetry readers: CSV, JSON Lines, JSON array, Parquet, SQLite.
 
 Every reader returns the same shape: the nine raw fields as STRING (NULL =
-key absent / None), plus ``source_file`` (base name), ``source_ordinal``
+key absent / None), ``corrupt_record`` (text of an unreadable line), plus ``source_file`` (base name), ``source_ordinal``
 (position in the input list) and ``row_number`` (ordinal within the file,
 counted from 2 as the reference does for every format).
 """
@@ -20,6 +20,7 @@ JSONL_SUFFIXES = (".jsonl", ".ndjson")
 JSON_SUFFIXES = (".json",)
 SQLITE_SUFFIXES = (".sqlite", ".sqlite3", ".db")
 PARQUET_SUFFIXES = (".parquet",)
+CORRUPT = "_corrupt_record"  # text of a line that is no JSON object
 
 
 def detect_format(path: str) -> str:
@@ -70,7 +71,8 @@ def _project(df: DataFrame, present: list[str], *, blank_present: bool) -> DataF
             cols.append((F.coalesce(c, F.lit("")) if blank_present else c).alias(name))
         else:
             cols.append(F.lit(None).cast("string").alias(name))
-    return df.select(*cols, "row_number")
+    corrupt = F.col(CORRUPT) if CORRUPT in df.columns else F.lit(None).cast("string")
+    return df.select(*cols, corrupt.alias("corrupt_record"), "row_number")
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -85,8 +87,9 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    schema = ", ".join(f"`{name}` STRING" for name in RAW_FIELDS)
-    df = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    """One record a line; a line that cannot be read keeps its text in ``corrupt_record``, with all fields null."""
+    schema = ", ".join(f"`{name}` STRING" for name in (*RAW_FIELDS, CORRUPT))
+    df = spark.read.schema(schema).options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).json(path)
     df = with_row_ordinals(df)
     return _project(df, list(RAW_FIELDS), blank_present=False)
 
@@ -133,6 +136,7 @@ def read_source(spark: SparkSession, path: str, *, fmt: str | None = None, sql_t
         df = reader(spark, path)
     return df.select(
         *RAW_FIELDS,
+        "corrupt_record",
         F.lit(os.path.basename(path.rstrip("/"))).alias("source_file"),
         F.lit(source_ordinal).cast("int").alias("source_ordinal"),
         F.col("row_number").cast("long").alias("row_number"),
