@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..specs import RAW_FIELDS
+from .csv_lines import read_records
 
 CSV_SUFFIXES = (".csv",)
 JSONL_SUFFIXES = (".jsonl", ".ndjson")
@@ -76,13 +77,8 @@ def _project(df: DataFrame, present: list[str], *, blank_present: bool) -> DataF
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Records as RFC 4180 writes them: doubled quotes, line breaks inside quotes, plain backslashes.
-
-    Line breaks inside quotes make a file one split; large inputs belong in
-    many files.
-    """
-    df = spark.read.options(header=True, inferSchema=False, mode="PERMISSIVE", quote='"', escape='"', multiLine=True).csv(path)
-    df = with_row_ordinals(df)
+    """Records as RFC 4180 writes them: doubled quotes, line breaks inside quotes, plain backslashes; large files in many tasks."""
+    df = read_records(spark, path)
     return _project(df, [c for c in df.columns if c != "row_number"], blank_present=True)
 
 
