@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from ..specs import DERIVED_FEATURES, EXCLUDED_FEATURE_COLUMNS, MAPE_EPSILON, THRESHOLD_STEPS
-
-AUC_BUCKETS = 256
+from .prefix import prefix_sums
 
 
 def _div0(num, den):
@@ -46,33 +46,25 @@ def rates(conf: DataFrame, by: tuple[str, ...] = ("model_name",)) -> DataFrame:
     return staged.withColumn("f1", _div0(2 * p * r, p + r))
 
 
+def score_levels(scored: DataFrame, by: tuple[str, ...], label: str = "label", score: str = "probability") -> DataFrame:
+    """(group, score, _pos, _neg): labels 1 and 0 of each score level; all that the metrics below need to know."""
+    y = F.col(label)
+    return scored.groupBy(*by, score).agg(F.count_if(y == 1).alias("_pos"), F.count_if(y == 0).alias("_neg"))
+
+
 def roc_auc(scored: DataFrame, by: tuple[str, ...] = ("model_name",), label: str = "label",
-            score: str = "probability", buckets: int = AUC_BUCKETS) -> DataFrame:
+            score: str = "probability", buckets: int | None = None) -> DataFrame:
     """Exact, tie-aware ROC-AUC per group (Mann-Whitney); NULL for one class.
 
     AUC = sum over score levels of pos * (negatives below + negatives tied / 2) / (P * N).
-    "Negatives below" is a prefix sum over sorted levels, computed in two
-    steps so no group is sorted in one task: levels are bucketed by
-    approximate score quantiles; bucket totals (groups x buckets rows) give
-    each bucket its offset; a window inside each bucket adds the rest.
+    "Negatives below" is a prefix sum over the sorted levels, so no group is
+    sorted in one task (``buckets``: ranges of levels, by default the shuffle partitions).
     """
-    y = F.col(label)
-    levels = scored.where(F.col(score).isNotNull()).groupBy(*by, score).agg(
-        F.count_if(y == 1).alias("_pos"), F.count_if(y == 0).alias("_neg"))
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = levels.agg(F.percentile_approx(score, probs, 10000).alias("c")).collect()[0]["c"] or []
-    cuts = sorted(set(float(c) for c in cuts if c is not None))
-    bucket = F.lit(0)
-    if cuts:
-        bucket = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col(score)))
-    tagged = levels.withColumn("_b", bucket)
-    totals = tagged.groupBy(*by, "_b").agg(F.sum("_neg").alias("_bneg"))
-    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, "_b", F.coalesce(F.sum("_bneg").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(*by, "_b").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    # offsets hold (groups x buckets) rows: a proven bound, safe to broadcast
-    ranked = tagged.join(F.broadcast(offsets), [*by, "_b"]).select(
-        *by, "_pos", "_neg", (F.col("_off") + F.coalesce(F.sum("_neg").over(inside), F.lit(0))).alias("_below"))
+    return auc_of_levels(score_levels(scored, by, label, score), by, score, buckets)
+
+
+def auc_of_levels(levels: DataFrame, by: tuple[str, ...], score: str = "probability", buckets: int | None = None) -> DataFrame:
+    ranked = prefix_sums(levels.where(F.col(score).isNotNull()), by, (score,), {"_neg": "_below"}, buckets)
     agg = ranked.groupBy(*by).agg(
         F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0)).alias("_u"),
         F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
@@ -94,12 +86,19 @@ def classification_metrics(scored: DataFrame, by: tuple[str, ...] = ("model_name
 
 def threshold_sweep(scored: DataFrame, by: tuple[str, ...] = ("model_name",),
                     thresholds: tuple[float, ...] = THRESHOLD_STEPS) -> DataFrame:
-    """predicted = probability >= t for t in 0.1..0.9; AUC repeated per row."""
-    swept = scored.select(*by, "label", "probability",
-                          F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("threshold"))
-    swept = swept.withColumn("prediction", (F.col("probability") >= F.col("threshold")).cast("int"))
-    m = rates(confusion(swept, (*by, "threshold")), (*by, "threshold"))
-    auc = roc_auc(scored, by)
+    """predicted = probability >= t for t in 0.1..0.9; AUC repeated per row.
+
+    Rows are counted once, by score level; thresholds and AUC are sums over the levels.
+    """
+    levels = materialize(score_levels(scored, by), "levels")
+    hit = [F.col("probability") >= F.lit(float(t)) for t in thresholds]
+    count = lambda side, where: F.coalesce(F.sum(F.when(where, F.col(side))), F.lit(0))
+    counts = levels.groupBy(*by).agg(F.array(*[F.struct(
+        F.lit(float(t)).alias("threshold"), count("_neg", ~h).alias("true_negative"), count("_neg", h).alias("false_positive"),
+        count("_pos", ~h).alias("false_negative"), count("_pos", h).alias("true_positive"))
+        for t, h in zip(thresholds, hit, strict=True)]).alias("_at"))
+    m = rates(counts.select(*by, F.inline("_at")), (*by, "threshold"))
+    auc = auc_of_levels(levels, by)
     return m.join(auc, list(by), "left").select(
         *by, "threshold", *[F.round(c, 6).alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")])
 
