@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics as M
+from ..operators import trends as TD
 from ..operators.dedup import flag_first_wins, new_records, source_report
 from ..operators.series import add_zscores, discover_metrics, fill_gaps, preprocess_report, series_features
 from ..operators.validate import accepted, null_spikes, validation_issues
@@ -148,6 +149,23 @@ def q_rolling_stats(spark, sf):
     return S.output(f.select(*WINDOW_KEYS, *[f"{m}_{s}" for m in metrics for s in ROLLING_SUFFIXES if s != "roll_slope"]))
 
 
+def q_trend_features(spark, sf):
+    f, _ = _base_features(spark, sf)
+    return S.output(TD.trend_features(f, ("latency_ms", "throughput_rps")))
+
+
+def _by_day(df):
+    return S.output(df.withColumn("day", F.date_format("day", "yyyy-MM-dd")))
+
+
+def q_component_events(spark, sf):
+    return _by_day(TD.event_frequency(_base_features(spark, sf)[0]))
+
+
+def q_stability_ranges(spark, sf):
+    return _by_day(TD.stability(_base_features(spark, sf)[0], "latency_ms"))
+
+
 def q_rolling_slope(spark, sf):
     f, metrics = _base_features(spark, sf)
     return S.output(f.select(*WINDOW_KEYS, *[f"{m}_roll_slope" for m in metrics]))
@@ -284,6 +302,9 @@ QUERIES: dict[str, Query] = {
     "q_locf": q_locf,
     "q_rolling_stats": q_rolling_stats,
     "q_rolling_slope": q_rolling_slope,
+    "q_trend_features": q_trend_features,
+    "q_component_events": q_component_events,
+    "q_stability_ranges": q_stability_ranges,
     "q_lead_targets": q_lead_targets,
     "q_burst": q_burst,
     "q_derived_features": q_derived_features,

@@ -468,6 +468,20 @@ FROM b2 WHERE r2 = 1 AND fp NOT IN (SELECT fp FROM b1)"""),
     "q_rolling_stats": _with(f"SELECT {KEYS}, " + ", ".join(
         f"{m}_{s}" for m in METRICS for s in ("roll_mean", "roll_std", "roll_min", "roll_max")) + " FROM base"),
     "q_rolling_slope": _with(f"SELECT {KEYS}, " + ", ".join(f"{m}_roll_slope" for m in METRICS) + " FROM base"),
+    "q_trend_features": _with(f"SELECT {KEYS}, " + ", ".join(
+        f"lag({m}) OVER o AS {m}_lag, round({m} - lag({m}) OVER o, 6) AS {m}_change, "
+        f"round(CASE WHEN lag({m}) OVER o = 0 THEN 0.0::DOUBLE ELSE ({m} - lag({m}) OVER o) / lag({m}) OVER o END, 6) AS {m}_change_rate, "
+        f"round(var_pop({m}) OVER (PARTITION BY service_name, host_id ORDER BY base.window_start ROWS 2 PRECEDING), 6) AS {m}_roll_variance, "
+        f"CASE WHEN count({m}) OVER d = 25 THEN round({m} - avg({m}) OVER d, 6) END AS {m}_long_drift"
+        for m in ("latency_ms", "throughput_rps")) + " FROM base WINDOW o AS (PARTITION BY service_name, host_id ORDER BY base.window_start), "
+        "d AS (PARTITION BY service_name, host_id ORDER BY base.window_start ROWS 24 PRECEDING)"),
+    "q_component_events": _with(
+        "SELECT service_name, strftime(base.window_start, '%Y-%m-%d') AS day, CAST(sum(event_count) AS BIGINT) AS events, "
+        "count(*) AS windows, round(sum(event_count)::DOUBLE / count(*), 6) AS events_per_window FROM base GROUP BY ALL"),
+    "q_stability_ranges": _with(
+        "SELECT service_name, strftime(base.window_start, '%Y-%m-%d') AS day, round(avg(latency_ms), 6) AS mean, "
+        "round(stddev_pop(latency_ms), 6) AS deviation, round(CASE WHEN avg(latency_ms) = 0 THEN 0.0::DOUBLE "
+        "ELSE stddev_pop(latency_ms) / avg(latency_ms) END, 6) AS variation FROM base GROUP BY 1, 2"),
     "q_lead_targets": _with(f"SELECT {KEYS}, target_next_latency_ms, target_next_throughput_rps FROM base"),
     "q_burst": _with(f"SELECT {KEYS}, packet_drop_ratio, CAST(packet_drop_burst_count AS BIGINT) AS packet_drop_burst_count FROM base"),
     "q_derived_features": _with(
