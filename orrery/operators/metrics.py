@@ -8,7 +8,9 @@ collected per model.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -22,14 +24,15 @@ def _div0(num, den):
 
 
 def confusion(scored: DataFrame, by: tuple[str, ...] = ("model_name",), label: str = "label",
-              prediction: str = "prediction") -> DataFrame:
-    """Tn, fp, fn, tp with labels [0, 1]."""
+              prediction: str = "prediction", also: Sequence[Column] = ()) -> DataFrame:
+    """Tn, fp, fn, tp with labels [0, 1], and the aggregates of ``also``."""
     y, p = F.col(label), F.col(prediction)
     return scored.groupBy(*by).agg(
         F.count_if((y == 0) & (p == 0)).alias("true_negative"),
         F.count_if((y == 0) & (p == 1)).alias("false_positive"),
         F.count_if((y == 1) & (p == 0)).alias("false_negative"),
         F.count_if((y == 1) & (p == 1)).alias("true_positive"),
+        *also,
     )
 
 

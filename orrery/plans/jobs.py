@@ -228,13 +228,13 @@ def evaluate_job(spark: SparkSession, features_path: str, registry_path: str, ou
         save("threshold_sweeps", M.threshold_sweep(scored))
         save("classification_errors", M.classification_errors(scored))
         save("service_stability", M.service_stability(scored))
-        save("classification_ablation", E.ablation(cls, features, task="classification"))
+        save("classification_ablation", E.ablation(cls, features))
     if reg:
         save("regression_scored", TR.score_regressors(reg, features))
         rscored = spark.read.parquet(written["regression_scored"])
         save("regression_metrics", M.regression_metrics(rscored))
         save("regression_errors", M.regression_errors(rscored))
-        save("regression_ablation", E.ablation(reg, features, task="regression"))
+        save("regression_ablation", E.ablation(reg, features))
     if cls or reg:
         save("feature_importance", E.importances(spark, cls + reg))
         timing = [(tm.name, tm.target, *E.benchmark_scoring(tm, features, repeats=repeats).values()) for tm in cls + reg]
