@@ -4,27 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orrery.session import scratch_path
 
+Batch = TypeVar("Batch")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, *, row_group: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     Cuts the lineage like a checkpoint, but later readers prune columns.
     Task retries leave no partial file: Spark's committer publishes a task's
-    output once.
+    output once.  ``row_group`` bounds the bytes that a task's writer holds
+    (Parquet's default is 128 MiB); tables of whole texts take a small one.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    if row_group:
+        writer = writer.option("parquet.block.size", str(row_group))
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -51,6 +59,14 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def released(batches: Iterator[Batch]) -> Iterator[Batch]:
+    """``batches``, after which Arrow's free memory goes back: a worker waits for its next task without the last one's buffers."""
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+
+
 def text_slices(texts: Sequence[str | None], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Consecutive row ranges of about ``limit`` characters each, at least one row."""
     start, size = 0, 0

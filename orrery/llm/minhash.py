@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.common import arrow_batches, connected_components, staged, text_slices
+from orrery.llm.common import arrow_batches, connected_components, released, staged, text_slices
 
 WORDS, SIMILAR = 5, 0.8
 REGISTERS, BANDS, ROWS = 128, 50, 8  # a pair at 0.9 misses all bands with probability below 1e-6, one at 0.8 with 0.01
@@ -153,7 +153,7 @@ def band_table(texts: DataFrame, *, bands: int = BANDS, rows: int = ROWS, words:
         draw = np.random.default_rng(17)
         chosen = np.stack([draw.permutation(REGISTERS)[:rows] for _ in range(bands)])
         salt = mix64(np.arange(1, bands + 1, dtype=np.uint64))
-        for batch in batches:
+        for batch in released(batches):
             texts = batch.column(1).to_pylist()
             for i, j in text_slices(texts, SLICE_CHARS):
                 sets = shingler.of(texts[i:j])
@@ -177,7 +177,7 @@ def fine_sketches(texts: DataFrame, *, words: int = WORDS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
-        for batch in batches:
+        for batch in released(batches):
             body = batch.column(1).to_pylist()
             for i, j in text_slices(body, SLICE_CHARS):
                 sets = shingler.of(body[i:j])
@@ -214,7 +214,7 @@ def verified(pairs: DataFrame, texts: DataFrame, same: DataFrame, *, similar: fl
     @F.pandas_udf("hashes binary, counts binary")
     def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(words)
-        for batch in batches:
+        for batch in released(batches):
             body, out = list(batch), []
             for i, j in text_slices(body, SLICE_CHARS):
                 out += [(h.tobytes(), c.astype(np.uint32).tobytes()) for h, c in shingler.of(body[i:j])]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orrery.llm.common import staged
+from orrery.llm.common import released, staged
 from orrery.llm.token_count import PieceEncoder, byte_balanced
 
 WINDOW, END_ID = 2048, 1
@@ -50,7 +50,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text:
         part, piece, ranks = TaskContext.get().partitionId(), 0, {}
         encoder = PieceEncoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in released(batches):
             texts, keys = batch.column(1), batch.column(0)
             for i, j in byte_balanced(texts):
                 rows, own = [], []

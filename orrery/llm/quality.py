@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orrery.llm.common import staged, text_slices
+from orrery.llm.common import released, staged, text_slices
 
 BITS = 18  # features are hashed to 2 ** BITS weights
 SAMPLE = 6000  # rows that may be learned from, at most
@@ -189,7 +189,7 @@ def fit(docs: DataFrame, ratings: DataFrame, *, key: str = "doc_id", text: str =
     @F.pandas_udf("slots binary, values binary")  # packed: lists of Python numbers would fill the driver
     def features(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         table = Features()
-        for texts in batches:
+        for texts in released(batches):
             row, slot, value = table.of(list(texts))
             cut = np.searchsorted(row, np.arange(1, len(texts)))
             yield pd.DataFrame({"slots": [x.tobytes() for x in np.split(slot.astype("<i4"), cut)],
@@ -216,7 +216,7 @@ def score_column(model: Model, text: Column) -> Column:
     @F.pandas_udf(kind)
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         table = Features(model.bits)
-        for texts in batches:
+        for texts in released(batches):
             latent = np.zeros(len(texts))
             body = [t or "" for t in texts]
             for i, j in text_slices(body):
