@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orrery.llm.common import released
+
 SEGMENT = 128  # bytes that are read from a fresh state, in both directions
 HIDDEN = 8
 BLOCK = 1024  # segments stepped together
@@ -216,14 +218,20 @@ def fit(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str =
     the key are taken, and of each at most ``segments_per_doc`` segments
     spread evenly over the whole text: at most 0.23 MB per language reach the
     driver.  Rows without a letter teach nothing.  Ties in the hash are
-    ordered by the text's hash.
+    ordered by the text's hash; equal rows are taken once; of equally
+    probable labels the first in code point order is predicted.
     """
-    usable = docs.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    usable = usable.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"),
-                           F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit("sample")).alias("h"))
-    # the limit by rank is applied before the shuffle as well, so a language with most of the rows sends few of them
-    first = Window.partitionBy("lang").orderBy("h", F.xxhash64("text"))
-    sample = usable.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= docs_per_language)
+    usable = docs.filter(F.col(lang).isNotNull()).select(
+        F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"),
+        F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit("sample")).alias("h"))
+    # hashes are ranked, not texts; the limit by rank is applied before the shuffle as well, so a language with most
+    # of the rows sends few of them
+    first = Window.partitionBy("lang").orderBy("h", "text_hash")
+    hashes = usable.filter(F.col("text").rlike(r"\p{L}")).select("lang", "h", F.xxhash64("text").alias("text_hash"))
+    picked = hashes.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= docs_per_language).drop("at").distinct()
+    # docs_per_language rows a language; copies of a row are joined to one pick and become one again
+    rows = usable.join(F.broadcast(picked), ["lang", "h"]).filter(F.xxhash64("text") == F.col("text_hash"))
+    sample = rows.groupBy("lang", "h", "text_hash").agg(F.first("text").alias("text"))
 
     @F.pandas_udf("array<binary>")
     def spread(texts: pd.Series) -> pd.Series:
@@ -251,7 +259,7 @@ def predict_column(net: Network, text: Column) -> Column:
 
     @F.pandas_udf("lang string, score double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
+        for texts in released(batches):
             lang = np.full(len(texts), UNDETERMINED, object)
             best = np.zeros(len(texts))
             rows = [i for i, t in enumerate(texts) if t]
