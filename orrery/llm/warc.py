@@ -27,6 +27,7 @@ from orrery.session import scratch_path
 
 MIN_REVISIT_BYTES = 100
 ARCHIVE_BYTES = 64 << 20  # an archive is closed when it has grown past this
+TASK_BYTES = 128 << 20  # records that a task reads, if there are many
 READ_GAP, READ_BYTES = 64 << 10, 8 << 20  # ranges closer than the gap are read at once, up to so many bytes
 
 INDEX_SCHEMA = ("record_id string, page_id bigint, archive string, offset bigint, length bigint, url string, "
@@ -165,9 +166,10 @@ def coalesce_ranges(places: list[tuple[int, int]], gap: int = READ_GAP, most: in
 def read_records(index: DataFrame) -> DataFrame:
     """The records that the rows of ``index`` name, payloads included.
 
-    Index rows are dealt by (archive, block of 8 MiB) and sorted by place; a
-    task opens an archive once per batch and reads merged ranges of at most
-    8 MiB (one record, if that is larger).
+    Index rows are dealt by ranges of (archive, offset): a task for each 8 MiB
+    of records up to the session's shuffle partitions, beyond them one for
+    each ``TASK_BYTES``.  A task opens an archive once per batch and reads
+    merged ranges of at most 8 MiB (one record, if that is larger).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +191,11 @@ def read_records(index: DataFrame) -> DataFrame:
                 i = j
 
     places = index.select("archive", "offset", "length")
-    dealt = places.repartition("archive", F.floor(F.col("offset") / READ_BYTES)).sortWithinPartitions("archive", "offset")
+    # the index is small beside the records that it names, so the tasks are counted from the records' bytes
+    total = places.agg(F.sum("length")).first()[0] or 0
+    blocks, least = -(-total // READ_BYTES), int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(blocks, least), -(-total // TASK_BYTES))
+    dealt = places.repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
     return dealt.mapInArrow(run, RECORD_SCHEMA)
 
 

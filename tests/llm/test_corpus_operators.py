@@ -465,3 +465,25 @@ def test_stages_on_awkward_rows(spark, awkward):
     # no row of these has a label: nothing is learned, nothing goes
     unlabelled = docs.withColumn("doc_id", -F.col("doc_id") - 1)
     assert pipeline.quality_stage(spark, unlabelled, SF).count() == len(rows)
+
+
+def test_warc_records_are_read_by_many_tasks(spark):
+    from orrery.llm import warc
+
+    pages = spark.range(40).select(F.col("id").alias("page_id"), F.lit("http://a.example/").alias("url"),
+                                   F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(10_000)), lambda i: F.sha2(F.concat("id", i).cast("string"), 256))).alias("html"))
+    read = warc.read_records(warc.write_archives(warc.plan_records(pages), None))
+    with_rows = read.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n")).collect()
+    assert len(with_rows) > 1 and sum(r.n for r in with_rows) == 40
+
+
+def test_language_sample_takes_equal_rows_once(spark, monkeypatch):
+    from orrery.llm import language_id
+
+    body = "der hund läuft über die straße und die katze schläft"
+    rows = [(i, f"{body} {i}", "de") for i in range(30)] + [(1, f"{body} 1", "de")] * 5 + [(2, None, "de"), (3, "12 34", "de"), (None, body, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    monkeypatch.setattr(language_id, "train", lambda segments, labels, names, **options: seen.extend(segments))
+    language_id.fit(docs)
+    assert sorted(seen) == sorted(f"{body} {i}".encode() for i in range(30))
