@@ -23,6 +23,7 @@ from orrery.llm.queries import quality_model, tokenizer_path
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_LANGUAGE_SCORE = 0.4  # pooled probability below which no language is accepted
 TEXTS_AT_ONCE = 1000  # texts that a Python worker holds at once
+ROW_GROUP = 16 << 20  # bytes of texts that a Parquet writer holds
 LEAST_TAIL = 0.5  # of P(grade >= 2): good and not toxic
 
 
@@ -38,7 +39,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     scored = docs.withColumn("_p", predict_column(net, F.col("text")))
     keep = (F.col("_p.lang") != UNDETERMINED) & (F.col("_p.score") >= LEAST_LANGUAGE_SCORE)
     with arrow_batches(spark, TEXTS_AT_ONCE):
-        return staged(scored.filter(keep).select(*COLUMNS), "language")
+        return staged(scored.filter(keep).select(*COLUMNS), "language", row_group=ROW_GROUP)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +57,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     model = quality_model(spark, docs, sf_dir)
     scored = docs.withColumn("_s", score_column(model, F.col("text")))
     with arrow_batches(spark, TEXTS_AT_ONCE):
-        return staged(scored.filter(F.col("_s.tails")[1] >= LEAST_TAIL).select(*COLUMNS), "quality")
+        return staged(scored.filter(F.col("_s.tails")[1] >= LEAST_TAIL).select(*COLUMNS), "quality", row_group=ROW_GROUP)
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +68,7 @@ def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     space) are like no other and stay; long texts are read whole; other
     columns are dropped; an empty table gives an empty result.
     """
-    rows = staged(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "duplicate-rows")
+    rows = staged(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "duplicate-rows", row_group=ROW_GROUP)
     classes = near_duplicates(rows, key="_row").select("_row", "class_id")
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
     keep = rows.select("_row", "doc_id").join(classes, "_row").groupBy("class_id").agg(F.min_by("_row", first).alias("_row"))
@@ -82,7 +83,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     empty table gives an empty result.
     """
     # the ids are stored: computed again, they would name other rows if the scan is cut otherwise
-    rows = staged(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "mix-rows")
+    rows = staged(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "mix-rows", row_group=ROW_GROUP)
     copies = staged(mix(rows, carry=("_row",)).filter("taken > 0").select("_row", F.expr("int(taken div size)").alias("_copies")), "mix")
     repeated = rows.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return repeated.select(*COLUMNS)
@@ -94,7 +95,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Null and empty texts have the end id alone; long texts are cut; repeated
     rows and null keys are packed each; an empty table gives an empty result.
     """
-    return pack(docs, tokenizer_path(), payload={"ids_crc32": F.crc32("ids")})
+    with arrow_batches(spark, TEXTS_AT_ONCE):
+        return pack(docs, tokenizer_path(), payload={"ids_crc32": F.crc32("ids")})
 
 
 STAGES = [("language ID", language_stage), ("quality classifier", quality_stage), ("MinHash near-dedup", duplicate_stage),
@@ -106,5 +108,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), "stage-" + name.split()[0].lower())
+        docs = staged(stage(spark, docs, sf_dir), "stage-" + name.split()[0].lower(), row_group=ROW_GROUP)
     return STAGES[-1][1](spark, docs, sf_dir)
