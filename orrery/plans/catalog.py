@@ -102,10 +102,9 @@ def q_window_floor(spark, sf):
 
 def _windows(spark, sf):
     from ..operators.series import resample_long, widen
-    from ..session import ensure_checkpoint_dir, materialize
+    from ..session import staged_table
 
-    ensure_checkpoint_dir(spark)
-    long = materialize(resample_long(S.cleaned(spark, sf)), "windows-long")
+    long = staged_table(resample_long(S.cleaned(spark, sf)), "windows-long")
     metrics = discover_metrics(long)
     return widen(long, metrics), metrics
 
@@ -135,7 +134,7 @@ def q_window_grid(spark, sf):
 
 def _base_features(spark, sf):
     w, metrics = _windows(spark, sf)
-    grid = fill_gaps(w, metrics, window_minutes=S.WINDOW_MINUTES)
+    grid = fill_gaps(w, metrics, window_minutes=S.WINDOW_MINUTES, as_runs=True)
     return series_features(grid, metrics, window_minutes=S.WINDOW_MINUTES, rolling_window_size=S.ROLLING_WINDOW), metrics
 
 
@@ -189,7 +188,7 @@ def q_derived_features(spark, sf):
 
 def q_zscores(spark, sf):
     f, metrics = _base_features(spark, sf)
-    z = add_zscores(materialize(f, "features-base"), metrics)
+    z = add_zscores(f, metrics)
     return S.output(z.select(*WINDOW_KEYS, *[f"{m}_zscore" for m in metrics]))
 
 

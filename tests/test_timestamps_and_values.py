@@ -68,3 +68,13 @@ def test_parse_float_matches_python(spark):
             assert value != value
         else:
             assert value == expected, case
+
+
+def test_strip_removes_pythons_white_space_and_nothing_else(spark):
+    from orrery.functions.text import py_strip
+
+    texts = [f"{chr(c)}a {chr(c)}b{chr(c)}{chr(c)}" for c in range(0x3100) if not 0xD800 <= c < 0xE000] + ["", " ", "\r\n", None]
+    table = spark.createDataFrame([(t,) for t in texts], "t string").select("t", py_strip(F.col("t")).alias("s"))
+    assert [(r.t, r.s) for r in table.collect() if r.s != (r.t.strip() if r.t is not None else None)] == []
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan  # a regex looks at each character
