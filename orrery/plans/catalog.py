@@ -18,7 +18,7 @@ from ..operators.dedup import flag_first_wins, new_records, source_report
 from ..operators.series import add_zscores, discover_metrics, fill_gaps, preprocess_report, series_features
 from ..operators.validate import accepted, null_spikes, validation_issues
 from ..specs import CURATED_COLUMNS, ROLLING_SUFFIXES
-from ..session import materialize
+from ..session import staged_table
 from . import stages as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,7 +102,6 @@ def q_window_floor(spark, sf):
 
 def _windows(spark, sf):
     from ..operators.series import resample_long, widen
-    from ..session import staged_table
 
     long = staged_table(resample_long(S.cleaned(spark, sf)), "windows-long")
     metrics = discover_metrics(long)
@@ -234,8 +233,8 @@ def regression_scored(features: DataFrame) -> DataFrame:
 
 
 def _scored_once(spark, sf) -> DataFrame:
-    """Rule-scored table, checkpointed: the AUC reads it twice (quantile cuts, prefix sums)."""
-    return materialize(rule_scored(S.features(spark, sf)), "rule-scored")
+    """What the metrics read of the rule-scored table, written once: confusion counts and AUC both read it."""
+    return staged_table(rule_scored(S.features(spark, sf)).select("model_name", "label", "prediction", "probability"), "rule-scored")
 
 
 def q_confusion(spark, sf):

@@ -52,3 +52,18 @@ def test_a_report_computes_only_what_it_reads(spark):
     assert features.count() == 57 and features.where("error_rate_zscore is null").count() == 0
     plan = M.class_weights(features)._jdf.queryExecution().optimizedPlan().toString()
     assert "stddev" not in plan and "roll_" not in plan
+
+
+def test_scored_rows_are_staged_without_keys(spark, tmp_path, monkeypatch):
+    from orrery.plans import catalog as C
+
+    kept = []
+    real = C.staged_table
+    monkeypatch.setattr(C, "staged_table", lambda df, name: kept.append(df.columns) or real(df, name))
+    rows = [("s", "h", datetime(2024, 1, 1, i), 1 if i > 6 else 0, i / 40, i / 100) for i in range(12)]
+    table = spark.createDataFrame(rows, "service_name string, host_id string, window_start timestamp_ntz, is_anomaly int, "
+                                        "error_rate double, packet_drop_ratio double")
+    monkeypatch.setattr(S, "features", lambda *_: table)
+    got = {r.model_name: r for r in C.q_classification_metrics(spark, "").collect()}
+    assert kept == [["model_name", "label", "prediction", "probability"]]
+    assert {m: (r.roc_auc, r.true_positive + r.false_negative) for m, r in got.items()} == {"error_rule": (1.0, 5), "drop_rule": (1.0, 5)}
