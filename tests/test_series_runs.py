@@ -66,4 +66,5 @@ def test_scored_rows_are_staged_without_keys(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(S, "features", lambda *_: table)
     got = {r.model_name: r for r in C.q_classification_metrics(spark, "").collect()}
     assert kept == [["model_name", "label", "prediction", "probability"]]
-    assert {m: (r.roc_auc, r.true_positive + r.false_negative) for m, r in got.items()} == {"error_rule": (1.0, 5), "drop_rule": (1.0, 5)}
+    # the drop rule gives 1.0 from the sixth row on: two of the seven negatives tie with all positives
+    assert {m: (r.roc_auc, r.true_positive + r.false_negative) for m, r in got.items()} == {"error_rule": (1.0, 5), "drop_rule": (0.857143, 5)}
