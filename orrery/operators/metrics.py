@@ -24,14 +24,18 @@ def _div0(num, den):
 
 
 def confusion(scored: DataFrame, by: tuple[str, ...] = ("model_name",), label: str = "label",
-              prediction: str = "prediction", also: Sequence[Column] = ()) -> DataFrame:
-    """Tn, fp, fn, tp with labels [0, 1], and the aggregates of ``also``."""
+              prediction: str = "prediction", also: Sequence[Column] = (), windows: str | None = None) -> DataFrame:
+    """Tn, fp, fn, tp with labels [0, 1], and the aggregates of ``also``; a row counts as ``windows`` rows if that column is named."""
     y, p = F.col(label), F.col(prediction)
+
+    def count(where: Column) -> Column:
+        return F.count_if(where) if windows is None else F.coalesce(F.sum(F.when(where, F.col(windows))), F.lit(0).cast("long"))
+
     return scored.groupBy(*by).agg(
-        F.count_if((y == 0) & (p == 0)).alias("true_negative"),
-        F.count_if((y == 0) & (p == 1)).alias("false_positive"),
-        F.count_if((y == 1) & (p == 0)).alias("false_negative"),
-        F.count_if((y == 1) & (p == 1)).alias("true_positive"),
+        count((y == 0) & (p == 0)).alias("true_negative"),
+        count((y == 0) & (p == 1)).alias("false_positive"),
+        count((y == 1) & (p == 0)).alias("false_negative"),
+        count((y == 1) & (p == 1)).alias("true_positive"),
         *also,
     )
 

@@ -238,9 +238,11 @@ def expand_runs(runs: DataFrame, metrics: list[str], *, window_minutes: int) ->
 
 
 def series_features(grid: DataFrame, metrics: list[str], *, window_minutes: int, rolling_window_size: int,
-                    keep_values: bool = False, block_windows: int | None = None) -> DataFrame:
+                    keep_values: bool = False, block_windows: int | None = None, counted: bool = False) -> DataFrame:
     """E1-E6, K4-K7 on the gap-filled grid (no z-scores); ``keep_values`` adds the unrounded values as ``_v_<metric>``.
 
+    With ``counted`` a row may stand for several equal windows of a series, ``_windows`` of them.
+
     With ``block_windows`` no task sees more than so many windows of a series
     (and the rolling frame): a segmented scan.  Each time block is summed up
     (last value of each metric, last window without a burst), the summaries
@@ -253,8 +255,12 @@ def series_features(grid: DataFrame, metrics: list[str], *, window_minutes: int,
     if "_gap" in grid.columns:
         if rolling_window_size <= MAX_RUN_FRAME and block_windows is None:
             return _features_of_runs(grid, metrics, window_minutes=window_minutes, rolling_window_size=rolling_window_size,
-                                     keep_values=keep_values)
+                                     keep_values=keep_values, counted=counted)
         grid = expand_runs(grid, metrics, window_minutes=window_minutes)
+    if counted:
+        rows = series_features(grid, metrics, window_minutes=window_minutes, rolling_window_size=rolling_window_size,
+                               keep_values=keep_values, block_windows=block_windows)
+        return rows.withColumn("_windows", F.lit(1).cast("long"))
     keys = KEYS if block_windows is None else (*KEYS, "_block")
     order = Window.partitionBy(*keys).orderBy("window_start")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -364,9 +370,14 @@ def series_features(grid: DataFrame, metrics: list[str], *, window_minutes: int,
 
 
 def _features_of_runs(runs: DataFrame, metrics: list[str], *, window_minutes: int, rolling_window_size: int,
-                      keep_values: bool) -> DataFrame:
+                      keep_values: bool, counted: bool = False) -> DataFrame:
     """:func:`series_features` of runs: the same columns and rows.
 
+    With ``counted`` windows of a run that agree in every column but
+    ``window_start`` are one row, the first of them, with their number in
+    ``_windows``: those beyond the first frames that are neither the last
+    (its next window is in another run) nor in a burst (which counts on).
+
     Windows of a run differ only in their distance ``_k`` from its present
     window.  A frame of R windows reaches out of the run for the first R - 1
     of them alone, so a run has at most R different frames (``_s``: the first
@@ -471,8 +482,12 @@ def _features_of_runs(runs: DataFrame, metrics: list[str], *, window_minutes: in
     staged = staged.withColumns(rolled)
     drift = r6(rounded("latency_ms") - (F.col("latency_ms_roll_mean") if "latency_ms" in metrics else zero))
     repeats = F.when(s < frame, F.lit(1)).otherwise(F.col("_gap") - frame)
-    staged = staged.select(*carried, *rolled, drift.alias("short_term_latency_drift"),
-                           F.explode(F.sequence(s, s + repeats - 1)).alias("_k"))
+    firsts = F.sequence(s, s + repeats - 1)
+    if counted:  # window s (it may be present), those between, the last
+        end = s + repeats - 1
+        firsts = F.when(F.col("_burst"), firsts).otherwise(F.array_distinct(F.array(s, F.least(s + 1, end), end)))
+    staged = staged.select(*carried, *rolled, drift.alias("short_term_latency_drift"), *([repeats.alias("_repeats")] if counted else []),
+                           F.explode(firsts).alias("_k"))
 
     # the rows of the grid
     k = F.col("_k")
@@ -482,6 +497,9 @@ def _features_of_runs(runs: DataFrame, metrics: list[str], *, window_minutes: in
         return F.when(last, F.col(f"_next_{m}")).otherwise(F.col(f"_r_{m}")) if m in metrics else F.lit(None).cast("double")
 
     burst = F.when(F.col("_burst"), F.col("_slot") + k - F.coalesce(F.col("_break"), F.col("_first") - 1)).otherwise(F.lit(0))
+    if counted:
+        between = ~F.col("_burst") & (k == s + 1) & ~last
+        windows = F.when(between, F.col("_repeats") - 2).otherwise(F.lit(1)).cast("long")
     return staged.select(
         F.timestamp_add("MINUTE", k * window_minutes, F.col("window_start")).alias("window_start"),
         F.lit(window_minutes).alias("window_minutes"),
@@ -500,14 +518,18 @@ def _features_of_runs(runs: DataFrame, metrics: list[str], *, window_minutes: in
         "cpu_throughput_imbalance",
         "short_term_latency_drift",
         burst.cast("int").alias("packet_drop_burst_count"),
+        *([windows.alias("_windows")] if counted else []),
     )
 
 
-def add_zscores(features: DataFrame, metrics: list[str]) -> DataFrame:
-    """D7 + C6 + K6: global mean / population std per metric, one row as a scalar subquery (not run if no z-score is read)."""
+def add_zscores(features: DataFrame, metrics: list[str], grid: DataFrame | None = None) -> DataFrame:
+    """D7 + C6 + K6: global mean / population std per metric, one row as a scalar subquery (not run if no z-score is read).
+
+    ``grid``: the rows of all windows, if ``features`` has fewer.
+    """
     if not metrics:
         return features
-    stats = features.agg(F.struct(
+    stats = (features if grid is None else grid).agg(F.struct(
         *[F.avg(m).alias(f"_mu_{m}") for m in metrics],
         *[F.stddev_pop(m).alias(f"_sd_{m}") for m in metrics],
     ).alias("_stats"))
@@ -523,9 +545,11 @@ def add_zscores(features: DataFrame, metrics: list[str]) -> DataFrame:
 def window_features(cleaned: DataFrame, *, metrics: list[str] | None = None, window_minutes: int = 1,
                     rolling_window_size: int = 3,
                     max_windows_per_series: int = DEFAULT_MAX_WINDOWS_PER_SERIES,
-                    materialize: bool = False, block_windows: int | None = None) -> DataFrame:
+                    materialize: bool = False, block_windows: int | None = None, counted: bool = False) -> DataFrame:
     """Full S5 feature table from cleaned rows; ``block_windows`` cuts long series into time blocks (a day of minutes: 1440).
 
+    ``counted``: equal windows of a series may be one row, ``_windows`` (last column) is their number; for sums over the table.
+
     ``materialize`` writes the table without z-scores once (shared checkpoint folder), for callers that read it several times.
     """
     check_window_minutes(window_minutes, rolling_window_size)
@@ -549,7 +573,12 @@ def window_features(cleaned: DataFrame, *, metrics: list[str] | None = None, win
         from ..session import staged_table
 
         base = staged_table(base, "features-base")
-    return add_zscores(base, metrics)
+    if not counted:
+        return add_zscores(base, metrics)
+    rows = series_features(grid, metrics, window_minutes=window_minutes, rolling_window_size=rolling_window_size,
+                           block_windows=block_windows, counted=True)
+    with_z = add_zscores(rows, metrics, base)
+    return with_z.select(*[c for c in with_z.columns if c != "_windows"], "_windows")
 
 
 def preprocess_report(flags: DataFrame, features: DataFrame, metrics: list[str]) -> DataFrame:

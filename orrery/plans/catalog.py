@@ -203,12 +203,17 @@ def q_preprocess_report(spark, sf):
 
 # --- features for models and metric checks ---------------------------------
 
+def _equal_windows_once(spark, sf) -> DataFrame:
+    """The features without repeats of equal windows: enough to know which columns have a value in every row."""
+    return S.features(spark, sf, counted=True).drop("_windows")
+
+
 def q_feature_columns(spark, sf):
-    return S.output(M.feature_columns(S.features(spark, sf)))
+    return S.output(M.feature_columns(_equal_windows_once(spark, sf)))
 
 
 def q_feature_groups(spark, sf):
-    return S.output(M.feature_groups(M.feature_columns(S.features(spark, sf))))
+    return S.output(M.feature_groups(M.feature_columns(_equal_windows_once(spark, sf))))
 
 
 def q_class_weights(spark, sf):
@@ -220,7 +225,8 @@ def rule_scored(features: DataFrame) -> DataFrame:
     models = F.array(*[
         F.struct(F.lit(name).alias("model_name"), F.least(F.lit(1.0), F.col(metric) * F.lit(factor)).alias("probability"))
         for name, metric, factor in RULE_MODELS])
-    out = features.select(*WINDOW_KEYS, F.col("is_anomaly").alias("label"), F.inline(models))
+    counted = ["_windows"] if "_windows" in features.columns else []
+    out = features.select(*WINDOW_KEYS, F.col("is_anomaly").alias("label"), *counted, F.inline(models))
     return out.withColumn("prediction", (F.col("probability") >= F.lit(0.5)).cast("int"))
 
 
@@ -237,8 +243,12 @@ def _scored_once(spark, sf) -> DataFrame:
     return staged_table(rule_scored(S.features(spark, sf)).select("model_name", "label", "prediction", "probability"), "rule-scored")
 
 
+def _rule_confusion(spark, sf) -> DataFrame:
+    return M.confusion(rule_scored(S.features(spark, sf, counted=True)), windows="_windows")
+
+
 def q_confusion(spark, sf):
-    return S.output(M.confusion(rule_scored(S.features(spark, sf))))
+    return S.output(_rule_confusion(spark, sf))
 
 
 def q_classification_metrics(spark, sf):
@@ -258,7 +268,7 @@ def q_service_stability(spark, sf):
 
 
 def q_fpr(spark, sf):
-    m = M.rates(M.confusion(rule_scored(S.features(spark, sf))))
+    m = M.rates(_rule_confusion(spark, sf))
     return S.output(m.select("model_name", F.round("false_positive_rate", 6).alias("false_positive_rate")))
 
 

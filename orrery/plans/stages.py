@@ -54,10 +54,10 @@ def metrics_of(spark: SparkSession, sf: str) -> list[str]:
 
 
 def features(spark: SparkSession, sf: str, window_minutes: int = WINDOW_MINUTES,
-             rolling_window_size: int = ROLLING_WINDOW, metrics: list[str] | None = None) -> DataFrame:
+             rolling_window_size: int = ROLLING_WINDOW, metrics: list[str] | None = None, counted: bool = False) -> DataFrame:
     # metrics=None: discovered from the checkpointed (window x metric) aggregate
     return window_features(cleaned(spark, sf, window_minutes), metrics=metrics, window_minutes=window_minutes,
-                           rolling_window_size=rolling_window_size)
+                           rolling_window_size=rolling_window_size, counted=counted)
 
 
 def ts_text(c: Column) -> Column:
