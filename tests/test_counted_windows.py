@@ -52,8 +52,10 @@ def test_confusion_and_columns_of_counted_rows(spark):
 
 
 def test_training_rows_fill_their_tasks(spark):
-    table = spark.range(200_000).repartition(40)
-    assert TR.in_tasks(table, 200_000).rdd.getNumPartitions() == 3  # 10 before: split statistics are shuffled by task
+    table = spark.range(1000).repartition(200)
+    tasks = lambda rows: TR.in_tasks(table, rows).rdd.getNumPartitions()
+    assert tasks(2_000_000) == 25  # 100 before: split statistics are shuffled by task
+    assert [tasks(n) for n in (0, 62_833, 160_000, 640_000, 640_001)] == [1, 4, 8, 8, 9]  # draws follow tasks: as before up to 160,000 rows
 
 
 def test_buffer_of_a_forest_of_all_features_leaves_its_trees_alone(spark):
