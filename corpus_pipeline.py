@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm.common import arrow_batches, staged, table
+from orrery.llm.common import arrow_batches, rows_with_ids, staged, table
 from orrery.llm.language_id import UNDETERMINED, fit, predict_column, training_rows
 from orrery.llm.minhash import near_duplicates
 from orrery.llm.mixing import mix
@@ -72,7 +72,7 @@ def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     classes = near_duplicates(rows, key="_row").select("_row", "class_id")
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
     keep = rows.select("_row", "doc_id").join(classes, "_row").groupBy("class_id").agg(F.min_by("_row", first).alias("_row"))
-    return rows.join(keep.select("_row"), "_row", "left_semi").select(*COLUMNS)
+    return rows_with_ids(rows, keep.select("_row"), "_row").select(*COLUMNS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -82,11 +82,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     rows and null keys are rows of their own; other columns are dropped; an
     empty table gives an empty result.
     """
-    # the ids are stored: computed again, they would name other rows if the scan is cut otherwise
-    rows = staged(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "mix-rows", row_group=ROW_GROUP)
-    copies = staged(mix(rows, carry=("_row",)).filter("taken > 0").select("_row", F.expr("int(taken div size)").alias("_copies")), "mix")
-    repeated = rows.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*COLUMNS)
+    mixed = mix(docs.select(*COLUMNS), carry=COLUMNS[1:]).filter("taken > 0").withColumn("_copies", F.expr("int(taken div size)"))
+    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

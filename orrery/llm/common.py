@@ -100,6 +100,19 @@ def ranked(df: DataFrame, group: str, order: Sequence[str], name: str = "ranked"
     return placed.join(parts, ["_part", group]).withColumn("pos", F.col("_shift") + F.col("_local")).drop("_part", "_local", "_shift")
 
 
+def rows_with_ids(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Those of ``rows`` whose ``column`` is in ``ids`` (same column), for wide rows with dense ids of 0 or more, none null.
+
+    The ids become stored bitmaps, one for 32,768 neighbouring ids: a bit for
+    a row is little enough to be broadcast, so the rows stay where they are read.
+    """
+    number, place = F.bitmap_bucket_number(F.col(column)), F.bitmap_bit_position(F.col(column))
+    maps = staged(ids.groupBy(number.alias("_number")).agg(F.bitmap_construct_agg(place).alias("_bits")), "bitmaps")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    has = F.get(F.array(*[byte.bitwiseAND(1 << i) > 0 for i in range(8)]), (place % 8).cast("int"))
+    return rows.join(maps, number == F.col("_number")).filter(has).select(*rows.columns)
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame, *, node: str = "id",
                          left: str = "a", right: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable over ``edges``, itself included.

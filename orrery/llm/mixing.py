@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orrery.llm.common import staged
+
 SEED = "mix-1"
 DRAW_BITS = 52
 BUCKETS = 4096  # per source; only the bucket that the budget ends in is sorted row by row
@@ -79,14 +81,20 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
     in a tie differ in nothing but which is named.  Other columns are
     ignored.  An empty table gives an empty result.
 
+    The bucket sums are stored, so that their size is known when the rows are
+    joined with them: rows are shuffled in the bucket that a budget ends in
+    only, and ``carry`` may hold whole texts.
+
     Sorting within a source: a key's bucket is its rank range; bucket sums
     (map-side combined, at most ``buckets`` rows per source) find the bucket
     in which the budget ends, and only that bucket's rows are sorted, so a
     source with a third of all rows is never in one task.
     """
     body = F.col(text).cast("string")
+    carried = [f"carry_{i}" for i in range(len(carry))]
     rows = docs.select(F.col(key).alias("k"), F.col(source).cast("string").alias("source"), size_column(body).alias("size"),
-                       (quality_column(body) if weight is None else weight).alias("w"), F.xxhash64(body).alias("h"), *(F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)))
+                       (quality_column(body) if weight is None else weight).alias("w"), F.xxhash64(body).alias("h"),
+                       *(F.col(c).alias(own) for c, own in zip(carry, carried, strict=True)))
     rows = rows.withColumn("e", -F.log(draw_column(F.col("k"))) / F.col("w"))
     # e is exponential for weight 1: 1 - exp(-e) spreads it evenly; e grows with the bucket
     rows = rows.withColumn("b", F.least(F.floor((1 - F.exp(-F.col("e"))) * buckets), F.lit(buckets - 1)).cast("int"))
@@ -100,13 +108,14 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
     bounds = sums.join(goal, F.col("source").eqNullSafe(F.col("goal_source"))).select(
         F.col("source").alias("bound_source"), F.col("b").alias("bound_b"), "n", "before", "source_size", "target",
         "epochs", "rest")
+    bounds = staged(bounds, "mix-bounds")
     placed = rows.join(bounds, F.col("source").eqNullSafe(F.col("bound_source")) & (F.col("b") == F.col("bound_b")))
     ends_here = (F.col("before") <= F.col("rest")) & (F.col("before") + F.col("n") > F.col("rest"))
-    inner = Window.partitionBy("source", "b").orderBy("e", "k", "size", "h").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("source", "b").orderBy("e", "k", "size", "h", *carried).rowsBetween(Window.unboundedPreceding, -1)
     clear = placed.filter(~ends_here).withColumn("more", (F.col("before") + F.col("n") <= F.col("rest")).cast("bigint"))
     last = placed.filter(ends_here).withColumn("upto", F.col("before") + F.coalesce(F.sum("size").over(inner), F.lit(0)))
     last = last.withColumn("more", (F.col("upto") + F.col("size") / 2 <= F.col("rest")).cast("bigint")).drop("upto")
     taken = clear.unionByName(last)
     return taken.select(F.col("k").alias(key), "size", "source_size", "target",
                         (F.col("size") * (F.col("epochs") + F.col("more"))).alias("taken"),
-                        *(F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)))
+                        *(F.col(own).alias(c) for c, own in zip(carry, carried, strict=True)))

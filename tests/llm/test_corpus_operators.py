@@ -435,6 +435,32 @@ def test_mixing_stage_keeps_rows_when_the_scan_is_cut_otherwise(spark, tmp_path)
     assert all(texts[r.doc_id] == r.text for r in rows)
 
 
+def test_rows_with_ids_equal_a_semi_join(spark):
+    from orrery.llm.common import rows_with_ids
+
+    rows = spark.createDataFrame([(i, f"t{i}") for base in (0, 32760, 1 << 33, (5 << 33) + 65535) for i in range(base, base + 20)] * 2, "_row bigint, text string")
+    ids = rows.filter("_row % 3 = 0").select("_row")
+    expect = rows.join(ids.distinct(), "_row", "left_semi")
+    got = rows_with_ids(rows, ids, "_row")
+    assert got.columns == rows.columns and sorted(got.collect()) == sorted(expect.collect())
+    assert rows_with_ids(rows, ids.limit(0), "_row").isEmpty()
+
+
+def test_stages_leave_texts_where_they_are_read(spark, monkeypatch):
+    import corpus_pipeline as pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = pipeline.duplicate_stage(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning(_row" not in plan
+    written = []
+    stage = pipeline.staged
+    monkeypatch.setattr(pipeline, "staged", lambda df, *a, **k: written.append(df.columns) or stage(df, *a, **k))
+    mixed = pipeline.mixing_stage(spark, docs, SF)
+    # no second table of the texts, and no join on rows: only with the sums of the buckets, which are broadcast
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert not written and "SortMergeJoin" not in plan and "_row" not in plan
+
+
 def test_short_texts_at_the_threshold_are_linked(spark):
     """Pairs of 9 and 8 words, 4 of 5 shingles shared: similarity 0.8, which sketches alone would miss in part."""
     from orrery.llm.minhash import near_duplicates
